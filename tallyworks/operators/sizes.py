@@ -1,0 +1,22 @@
+"""Checked broadcasts.
+
+A side is broadcast only if a bound on its rows is known: either by construction
+(one row, one row per listed level) or because it was counted. Anything else is
+left to the adaptive planner, which goes by measured sizes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+#: Rows up to which a side of a join may be sent to every executor.
+SMALL_ROWS = 10_000
+
+
+def has_few(keys: DataFrame, most: int = SMALL_ROWS) -> bool:
+    """Count distinct keys, stopping past ``most``. Starts a job on the key columns."""
+    return keys.distinct().limit(most + 1).count() <= most
+
+
+def broadcast_if(side: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(side) if small else side
