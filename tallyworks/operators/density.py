@@ -8,7 +8,7 @@ from math import pi, sqrt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyworks.operators.aggregates import drop_missing_keys, rows
-from tallyworks.operators.sizes import broadcast_if, has_few
+from tallyworks.operators.sizes import settle
 
 
 def bin_start(column: str, width: float) -> Column:
@@ -74,7 +74,7 @@ def kernel_density(
     )
     weighted = data.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("weight"))
     on_grid = (
-        weighted.join(broadcast_if(stats, has_few(data.select(*keys))), list(keys))
+        weighted.join(settle(stats), list(keys))
         .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
         .withColumn("x", F.col("first") + F.col("point") * F.col("step"))
     )

@@ -1,112 +1,134 @@
 """Exact quantiles and descriptive statistics without gathering a column.
 
 ``percentile`` keeps every distinct value of a group in one buffer. Here a
-fixed-size sketch first brackets each quantile; the rows below the bracket are
-only counted, and just the few values inside it are ranked.
+fixed-size sketch first brackets each quantile; rows between the brackets are
+only counted, and just the few values inside them are ranked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyworks.operators.aggregates import as_number, melt
-from tallyworks.operators.sizes import broadcast_if, has_few
+from tallyworks.operators.sizes import settle
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+VALUE = "value"
 
 
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     columns: Sequence[str],
-    shares: Sequence[float],
+    shares: Mapping[str, float],
+    extra: Sequence[Column] = (),
     accuracy: int = 20_000,
 ) -> DataFrame:
     """Linearly interpolated quantiles of each column per group.
 
-    Returns keys, ``column``, ``share``, ``quantile``. The sketch is off by at
-    most ``n / accuracy`` ranks; the bracket is twice as wide on either side,
-    so it holds the quantile for sure. Groups below ``10 * accuracy`` rows are
-    ranked whole (their distinct values, with counts).
+    Returns keys, ``column``, a column per named share, and ``extra`` aggregates
+    of ``value``. Two passes: the sketch is off by at most ``n / accuracy``
+    ranks, and a bracket reaches twice as far on either side, so it holds its
+    quantile for sure. Groups of up to ``10 * accuracy`` rows are ranked whole
+    (as distinct values with counts).
     """
-    long = melt(
-        df.select(*keys, *[as_number(c).alias(c) for c in columns]), keys, columns, "column", "value"
-    ).filter(F.col("value").isNotNull())
-    margin = 2.0 / accuracy
-    ends = [e for s in shares for e in (max(s - margin, 0.0), min(s + margin, 1.0))]
-    marks = F.array(*[F.lit(s) for s in shares])
+    shares = dict(sorted(shares.items(), key=lambda item: item[1]))
+    numbers = df.select(*keys, *[as_number(c).alias(c) for c in columns])
+    long = melt(numbers, keys, columns, "column", VALUE).filter(F.col(VALUE).isNotNull())
+    ids = [*keys, "column"]
 
-    sketched = long.groupBy(*keys, "column").agg(
-        F.count("value").alias("n"), F.percentile_approx("value", ends, accuracy).alias("ends")
+    margin = 2.0 / accuracy
+    ends = [e for s in shares.values() for e in (max(s - margin, 0.0), min(s + margin, 1.0))]
+    sketched = (
+        long.groupBy(*ids)
+        .agg(F.count(VALUE).alias("_n"), F.percentile_approx(VALUE, ends, accuracy).alias("_ends"), *extra)
     )
-
-    def bracket(share: Column, i: Column) -> Column:
-        small = F.col("n") <= 10 * accuracy
-        low = F.when(~small & (share > margin), F.get("ends", 2 * i))
-        high = F.when(~small & (share < 1 - margin), F.get("ends", 2 * i + 1))
-        return F.struct(share.alias("share"), low.alias("low"), high.alias("high"))
-
-    brackets = sketched.select(*keys, "column", "n", F.transform(marks, bracket).alias("brackets"))
-    ids = [*keys, "column"]
-    few = not keys or has_few(df.select(*keys))
-    matched = long.alias("l").join(
-        broadcast_if(brackets, few).alias("b"), [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ids]
+    wide_enough = F.col("_n") > 10 * accuracy
+    no_end = {"low": F.lit(float("-inf")), "high": F.lit(float("inf"))}
+    brackets = sketched.select(
+        "*",
+        *[
+            # a bracket touching 0 or 1 is open on that side
+            (no_end[side] if s in (0.0, 1.0) else F.when(wide_enough, F.get("_ends", F.lit(2 * i + j))).otherwise(no_end[side]))
+            .alias(f"_{side}{i}")
+            for i, s in enumerate(shares.values())
+            for j, side in enumerate(("low", "high"))
+        ],
+    ).drop("_ends")
+
+    known = settle(brackets)
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ids]
+    matched = long.alias("l").join(known.alias("b"), same).select(
+        *[F.col(f"l.{c}").alias(c) for c in ids],
+        F.col(f"l.{VALUE}").alias(VALUE),
+        "_n",
+        *[f"_{side}{i}" for i in range(len(shares)) for side in ("low", "high")],
     )
-    candidates = (
-        matched.select(*[F.col(f"l.{c}").alias(c) for c in ids], "value", "n", F.inline("brackets"))
-        .filter(F.col("high").isNull() | (F.col("value") <= F.col("high")))
-        # every value below the bracket falls into one counted row
-        .withColumn("value", F.when(F.col("low").isNull() | (F.col("value") >= F.col("low")), F.col("value")))
-        .groupBy(*ids, "share", "n", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+    # the first bracket not below the value holds it, or bounds the gap it lies in
+    inside, place = F.lit(None).cast("boolean"), F.lit(None).cast("double")
+    for i in reversed(range(len(shares))):
+        reaches = F.col(VALUE) <= F.col(f"_high{i}")
+        inside = F.when(reaches, F.col(VALUE) >= F.col(f"_low{i}")).otherwise(inside)
+        place = F.when(reaches, F.greatest(F.col(VALUE), F.col(f"_low{i}"))).otherwise(place)
+    counted = (
+        matched.select(*ids, "_n", inside.alias("_inside"), place.alias("_place"))
+        .filter(F.col("_place").isNotNull())
+        .groupBy(*ids, "_n", "_inside", "_place")
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
     order = (
-        Window.partitionBy(*ids, "share")
-        .orderBy(F.col("value").asc_nulls_first())
+        Window.partitionBy(*ids)
+        .orderBy("_place", "_inside")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = candidates.withColumn("up_to", F.sum("rows").over(order))
-    place = (F.col("n") - 1) * F.col("share")
-    at = lambda rank: F.min(F.when(F.col("up_to") > rank, F.col("value")))
-    fraction = F.max(place - F.floor(place))
-    low, high = at(F.floor(place)), at(F.ceil(place))
-    return ranked.groupBy(*ids, "share").agg((low + (high - low) * fraction).alias("quantile"))
+    ranked = counted.withColumn("_up_to", F.sum("_rows").over(order))
+
+    def value_at(rank: Column) -> Column:
+        return F.min(F.when(F.col("_inside") & (F.col("_up_to") > rank), F.col("_place")))
+
+    def quantile(share: float) -> Column:
+        rank = (F.col("_n") - 1) * F.lit(share)
+        low, high = value_at(F.floor(rank)), value_at(F.ceil(rank))
+        return low + (high - low) * F.max(rank - F.floor(rank))
+
+    found = ranked.groupBy(*ids).agg(*[quantile(s).alias(name) for name, s in shares.items()])
+    if not extra:
+        return found
+    rest = known.drop("_n", *[f"_{side}{i}" for i in range(len(shares)) for side in ("low", "high")])
+    same = [F.col(f"f.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ids]
+    return found.alias("f").join(rest.alias("r"), same).select(
+        *[F.col(f"f.{c}") for c in ids],
+        *[F.col(f"f.`{c}`") for c in shares],
+        *[F.col(f"r.{c}") for c in rest.columns if c not in ids],
+    )
 
 
 def quartiles_by(df: DataFrame, keys: Sequence[str], column: str, accuracy: int = 20_000) -> DataFrame:
-    """Quartiles of one column per group, a column each: ``q1``, ``median``, ``q3``."""
-    long = exact_quantiles(df, keys, [column], list(QUARTILES.values()), accuracy)
-    pick = lambda share, name: F.max(F.when(F.col("share") == share, F.col("quantile"))).alias(name)
-    return long.groupBy(*keys).agg(pick(0.25, "q1"), pick(0.5, "median"), pick(0.75, "q3"))
+    """Quartiles of one column per group: ``q1``, ``median``, ``q3``."""
+    names = dict(zip(("q1", "median", "q3"), QUARTILES.values()))
+    return exact_quantiles(df, keys, [column], names, accuracy=accuracy).drop("column")
 
 
 def describe(df: DataFrame, columns: Sequence[str], approx: bool = False, accuracy: int = 20_000) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per column.
 
-    ``approx=True`` takes the quartiles from the sketch, saving two passes.
+    ``approx=True`` takes the quartiles from the sketch, which saves a pass. A
+    column without any value has no row.
     """
-    parts = {
-        "count": lambda c: F.count(c).cast("double"),
-        "mean": F.avg,
-        "std": F.stddev_samp,
-        "min": F.min,
-        "max": F.max,
-    }
-    if approx:
-        quartiles = list(QUARTILES.values())
-        parts["quartiles"] = lambda c: F.percentile_approx(c, quartiles, accuracy)
-    wide = df.agg(
-        *[F.struct(*[f(as_number(c)).alias(p) for p, f in parts.items()]).alias(c) for c in columns]
-    )
-    stats = melt(wide, [], columns, "column", "s").select("column", "s.*")
+    moments = [
+        F.count(VALUE).cast("double").alias("count"),
+        F.avg(VALUE).alias("mean"),
+        F.stddev_samp(VALUE).alias("std"),
+        F.min(VALUE).alias("min"),
+        F.max(VALUE).alias("max"),
+    ]
     if approx:
-        for i, name in enumerate(QUARTILES):
-            stats = stats.withColumn(name, F.get("quartiles", F.lit(i)))
+        long = melt(df.select(*[as_number(c).alias(c) for c in columns]), [], columns, "column", VALUE)
+        sketch = F.percentile_approx(VALUE, list(QUARTILES.values()), accuracy).alias("_ends")
+        stats = long.filter(F.col(VALUE).isNotNull()).groupBy("column").agg(*moments, sketch)
+        stats = stats.withColumns({name: F.get("_ends", F.lit(i)) for i, name in enumerate(QUARTILES)})
     else:
-        long = exact_quantiles(df, [], columns, list(QUARTILES.values()), accuracy)
-        pick = lambda share, name: F.max(F.when(F.col("share") == share, F.col("quantile"))).alias(name)
-        quartiles = long.groupBy("column").agg(*[pick(s, name) for name, s in QUARTILES.items()])
-        stats = stats.join(quartiles, "column", "left")
+        stats = exact_quantiles(df, [], columns, QUARTILES, moments, accuracy)
     return stats.select("column", "count", "mean", "std", "min", *[F.col(f"`{q}`") for q in QUARTILES], "max")

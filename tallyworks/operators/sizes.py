@@ -1,4 +1,4 @@
-"""Checked broadcasts.
+"""Checked broadcasts, and spreading of small inputs.
 
 A side is broadcast only if a bound on its rows is known: either by construction
 (one row, one row per listed level) or because it was counted. Anything else is
@@ -20,3 +20,26 @@ def has_few(keys: DataFrame, most: int = SMALL_ROWS) -> bool:
 
 def broadcast_if(side: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(side) if small else side
+
+
+def settle(summary: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """Compute a per-group summary once, if it is small.
+
+    Up to ``most`` rows are fetched and come back as a literal table to be
+    broadcast, so the passes that follow do not compute it again. A larger
+    summary is returned as it was, to be joined by shuffles.
+    """
+    rows = summary.limit(most + 1).toArrow()
+    if rows.num_rows > most:
+        return summary
+    return F.broadcast(summary.sparkSession.createDataFrame(rows, summary.schema))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core work when the input has fewer splits than there are cores.
+
+    For rows that are costly to process, such as long texts in a few files.
+    Inputs with enough splits, the normal case on a cluster, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -15,6 +15,7 @@ from tallyworks.functions import nested, nulls, recode, text
 from tallyworks.operators import (
     aggregates, chi_square, correlation, density, encode, quantiles, ranking, tfidf,
 )
+from tallyworks.operators.sizes import spread
 from tallyworks.plans import meets, notes, quotes, shop, study, video
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -557,12 +558,12 @@ def decade_bucket(t):
 
 @query("clean_text")
 def clean_text(t):
-    return t.documents.select("doc_id", text.clean_note("text").alias("text"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", text.clean_note("text").alias("text"))
 
 
 @query("remove_stopwords")
 def remove_stopwords(t):
-    return t.documents.select("doc_id", text.remove_stop_words(F.lower("text"), SHORT_STOP_LIST).alias("text"))
+    return spread(t.documents.select("doc_id", "text")).select("doc_id", text.remove_stop_words(F.lower("text"), SHORT_STOP_LIST).alias("text"))
 
 
 @query("ngrams")

@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tallyworks")
     settings = SETTINGS | {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8" if cores == "*" else str(cores),
         "spark.driver.memory": "16g",
     }
