@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyworks import schemas
+from tallyworks.operators.sizes import spread
 
 
 class Tables:
@@ -220,7 +221,7 @@ class Tables:
     # --- case notes ---------------------------------------------------------------
 
     def raw_notes(self) -> DataFrame:
-        return self.documents.join(self.labels, "doc_id").select(
+        return spread(self.documents).join(self.labels, "doc_id").select(
             "doc_id",
             F.col("text").alias("Last10Chronos"),
             F.when(F.col("quality") == 1, "Successful").otherwise("Unsuccessful").alias("CloseType"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings that matter for results or for skew; a cluster keeps its own sizes.
@@ -17,13 +19,14 @@ SETTINGS = {
 
 
 def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
-    """A single-JVM session for tests and the bench."""
+    """A single-JVM session for tests and the bench, with a checkpoint folder of its own."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("tallyworks")
     settings = SETTINGS | {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8" if cores == "*" else str(cores),
         "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="checkpoints-"),
     }
     for key, value in (settings | extra).items():
         builder = builder.config(key, value)
@@ -31,16 +34,16 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder.
+    """Write ``df`` to the shared checkpoint folder and go on from there.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; files
-    there outlive a lost executor. Without that setting the frame is returned
-    as it is and recomputed from its sources when needed.
+    The folder is the one named in ``spark.checkpoint.dir``; files there outlive
+    a lost executor. Where it is not set the frame stays as it is, to be
+    computed again from its sources whenever it is needed.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             return df
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=False)
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
