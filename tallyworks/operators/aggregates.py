@@ -103,9 +103,13 @@ def conditional_counts(df: DataFrame, keys: Sequence[str], conditions: Mapping[s
 
 
 def cross_counts(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Contingency table, one column per listed value; absent pairs count 0."""
-    kept = drop_missing_keys(df, [row, column])
-    return kept.groupBy(row).pivot(column, list(values)).count().fillna(0)
+    """Contingency table, one column per listed value; absent pairs count 0.
+
+    With the values known, one conditional count each needs a single shuffle;
+    ``pivot`` would aggregate by pair first and then again by row.
+    """
+    kept = drop_missing_keys(df, [row, column]).filter(F.col(column).isin(list(values)))
+    return conditional_counts(kept, [row], {v: F.col(column) == v for v in values})
 
 
 def null_profile(df: DataFrame, digits: int = 3) -> DataFrame:

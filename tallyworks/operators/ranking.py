@@ -98,7 +98,8 @@ def split(df: DataFrame, id_column: str, test_share: float = 0.3, seed: int = 0)
     rows sharing an id stay on the same side.
     """
     keyed = df.withColumn("_key", hash_key(id_column, seed))
-    keys = keyed.select(F.lit(1).alias("_all"), "_key")
+    # all keys have the same length: one group, and still a key to join by
+    keys = keyed.select(F.length("_key").alias("_all"), "_key")
     quota = keys.groupBy("_all").agg(F.ceil(F.count(F.lit(1)) * F.lit(test_share)).alias("need"))
     cut = hash_cut(keys, quota, ["_all"], "_key", few_groups=True).select("cut").scalar()
     part = F.when(F.col("_key") <= cut, "test").otherwise("train")

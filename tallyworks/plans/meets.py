@@ -34,18 +34,16 @@ def prepare_results(raw: DataFrame, age_classes: Sequence[str] = fixed_values.AG
 def meets(results: DataFrame) -> DataFrame:
     """Distinct meets with the participants and failed attempts of (name, date).
 
-    The results collapse to the distinct meets first; totals per (name, date)
-    come from those few rows. A meet without name or date has missing totals:
-    a NULL key finds no partner in the join.
+    Both sides are aggregates, so a meet with very many results meets the join
+    as a few rows. A meet without name or date has missing totals: a NULL key
+    finds no partner.
     """
     key = ["MeetName", "Date"]
-    listed = results.groupBy(*fixed_values.MEET_COLUMNS, "Year").agg(
-        F.count("MeetName").alias("_n"), F.sum("FailedAttempts").alias("_failed")
-    )
+    listed = results.select(*fixed_values.MEET_COLUMNS, "Year").distinct()
     totals = (
-        drop_missing_keys(listed, key)
+        drop_missing_keys(results, key)
         .groupBy(*key)
-        .agg(F.sum("_failed").alias("FailedAttempts"), F.sum("_n").alias("Participants"))
+        .agg(F.sum("FailedAttempts").alias("FailedAttempts"), F.count(F.lit(1)).alias("Participants"))
     )
     return listed.join(totals, key, "left").select(
         *fixed_values.MEET_COLUMNS, "FailedAttempts", "Year", "Participants"

@@ -334,7 +334,7 @@ def _density(data: str, keys: str, points: int, extend: float, scale: str = "")
 
 oracle(
     "violin_density",
-    f"with {RESULTS}, data as (select Equipment, Tested, round(TotalKg / 1000) * 1000 as value from results), "
+    f"with {RESULTS}, data as (select Equipment, Tested, TotalKg as value from results), "
     + _density("data", "Equipment, Tested", 100, 2, "* 1e6"),
 )
 

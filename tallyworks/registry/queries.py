@@ -309,7 +309,7 @@ def quartiles_by_group(t):
 
 @query("violin_density")
 def violin_density(t):
-    shape = density.kernel_density(results(t), ["Equipment", "Tested"], "TotalKg", points=100, extend=2.0, bin_width=1_000)
+    shape = density.kernel_density(results(t), ["Equipment", "Tested"], "TotalKg", points=100, extend=2.0)
     # densities of large numbers are small: scale before rounding
     return rounded(shape.withColumn("density", F.col("density") * 1e6), 6, "x", "density")
 
