@@ -26,7 +26,9 @@ def sum_by(df: DataFrame, keys: Sequence[str], measure: str, name: str) -> DataF
     return df.groupBy(*keys).agg(F.sum(measure).alias(name))
 
 
-def sum_and_distinct_by(df: DataFrame, keys: Sequence[str], measure: str, total: str, member: str, members: str) -> DataFrame:
+def sum_and_distinct_by(
+    df: DataFrame, keys: Sequence[str], measure: str, total: str, member: str, members: str
+) -> DataFrame:
     """Sum of a measure and exact number of distinct members per group."""
     return df.groupBy(*keys).agg(F.sum(measure).alias(total), F.count_distinct(member).alias(members))
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tallyworks.functions.nulls import safe_ratio
 from tallyworks.operators.aggregates import cross_counts
 
 
@@ -27,7 +28,7 @@ def expected_counts(df: DataFrame, row: str, column: str, values: Sequence[str])
             F.struct(
                 F.lit(v).alias(column),
                 F.col(v).alias("observed"),
-                F.try_divide(F.col("_row_total").cast("double") * F.col(f"_sums.`{v}`"), grand.cast("double")).alias("expected"),
+                safe_ratio(F.col("_row_total").cast("double") * F.col(f"_sums.`{v}`"), grand).alias("expected"),
             )
             for v in values
         ]

@@ -46,17 +46,19 @@ def exact_quantiles(
         .agg(F.count(VALUE).alias("_n"), F.percentile_approx(VALUE, ends, accuracy).alias("_ends"), *extra)
     )
     wide_enough = F.col("_n") > 10 * accuracy
-    no_end = {"low": F.lit(float("-inf")), "high": F.lit(float("inf"))}
-    brackets = sketched.select(
-        "*",
-        *[
-            # a bracket touching 0 or 1 is open on that side
-            (no_end[side] if s in (0.0, 1.0) else F.when(wide_enough, F.get("_ends", F.lit(2 * i + j))).otherwise(no_end[side]))
-            .alias(f"_{side}{i}")
-            for i, s in enumerate(shares.values())
-            for j, side in enumerate(("low", "high"))
-        ],
-    ).drop("_ends")
+    def end(side: str, i: int, share: float) -> Column:
+        """One end of a bracket; open for small groups and where it touches 0 or 1."""
+        open_end = F.lit(float("-inf" if side == "low" else "inf"))
+        if share in (0.0, 1.0):
+            return open_end
+        return F.when(wide_enough, F.get("_ends", F.lit(2 * i + (side == "high")))).otherwise(open_end)
+
+    bracket_ends = [
+        end(side, i, share).alias(f"_{side}{i}")
+        for i, share in enumerate(shares.values())
+        for side in ("low", "high")
+    ]
+    brackets = sketched.select("*", *bracket_ends).drop("_ends")
 
     known = settle(brackets)
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ids]

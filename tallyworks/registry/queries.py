@@ -569,13 +569,14 @@ def remove_stopwords(t):
 @query("ngrams")
 def ngrams(t):
     """Occurrences of every n-gram of one to four words."""
-    grams = tfidf.terms(t.documents, "doc_id", "text", 4)
+    texts = tfidf.by_document(t.documents, "doc_id", "text")
+    grams = tfidf.terms(texts, "doc_id", "text", 4)
     return grams.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("tfidf_vocab")
 def tfidf_vocab(t):
-    return rounded(tfidf.vocabulary(t.documents, "text"), 6, "idf")
+    return rounded(tfidf.vocabulary(t.documents, "doc_id", "text"), 6, "idf")
 
 
 @query("tfidf")

@@ -29,13 +29,22 @@ def append_snapshot(df: DataFrame, path: str, time_column: str = "timestamp") ->
     return _counted(dated, lambda out: out.write.mode("append").partitionBy("ingest_date").parquet(path))
 
 
+def jdbc_append(rows: DataFrame, settings: dict[str, str]) -> None:
+    rows.write.format("jdbc").options(**settings).mode("append").save()
+
+
 def append_table(
     df: DataFrame, url: str, name: str, columns: Sequence[str] | None = None, batch: int = 10_000, **options: str
 ) -> int:
-    """Append the listed columns to a database table, in batches over JDBC."""
+    """Append the listed columns to a database table, in batches over JDBC.
+
+    Every partition is one connection and one transaction (``numPartitions``
+    limits them). A task repeated after a late failure may append its rows
+    twice; readers that mind take the latest row per key.
+    """
     rows = df.select(*columns) if columns else df
     settings = {"url": url, "dbtable": name, "batchsize": str(batch)} | options
-    return _counted(rows, lambda out: out.write.format("jdbc").options(**settings).mode("append").save())
+    return _counted(rows, lambda out: jdbc_append(out, settings))
 
 
 def overwrite_csv(df: DataFrame, path: str) -> int:

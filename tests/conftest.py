@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         **{
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(work / "warehouse"),
-            "spark.driver.extraJavaOptions": f"-Dderby.system.home={work}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

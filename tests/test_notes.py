@@ -50,7 +50,7 @@ def test_too_many_levels_are_refused(spark, monkeypatch):
 
 
 def test_vectors_equal_the_relational_weights(spark, prepared):
-    stages = models.text_stages(prepared, "Chronos", **LIMITS)
+    stages = models.text_stages(prepared, "doc_id", "Chronos", **LIMITS)
     vectors = PipelineModel(stages=stages).transform(prepared).select("doc_id", "text_features")
     terms = next(s for s in stages if hasattr(s, "vocabulary")).vocabulary
     weights = {(r.doc_id, r.term): r.weight for r in tfidf(prepared, "doc_id", "Chronos", **LIMITS).collect()}
