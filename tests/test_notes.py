@@ -10,12 +10,15 @@ from tallyworks import fixed_values
 from tallyworks.operators import aggregates, encode, models
 from tallyworks.operators.tfidf import tfidf
 from tallyworks.plans import notes
+from tallyworks.sources.writers import overwrite_parquet
 
 LIMITS = {"longest": 2, "max_terms": 300}
 
 
 @pytest.fixture(scope="module")
-def prepared(spark, tables):
+def prepared(spark, tables, tmp_path_factory):
+    # a counted write leaves its mark on the session; models have to work after it
+    assert overwrite_parquet(spark.range(3), str(tmp_path_factory.mktemp("write") / "rows")) == 3
     return notes.prepare(tables.raw_notes()).persist()
 
 
