@@ -8,14 +8,18 @@ only counted, and just the few values inside them are ranked.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyworks.operators.aggregates import as_number, melt
-from tallyworks.operators.sizes import settle
+from tallyworks.operators.sizes import broadcast_if, settle
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 VALUE = "value"
+#: Cells a bracket is cut into before the values of a cell are ranked.
+CELLS = 4_096
 
 
 def exact_quantiles(
@@ -24,15 +28,16 @@ def exact_quantiles(
     columns: Sequence[str],
     shares: Mapping[str, float],
     extra: Sequence[Column] = (),
-    accuracy: int = 20_000,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """Linearly interpolated quantiles of each column per group.
 
     Returns keys, ``column``, a column per named share, and ``extra`` aggregates
     of ``value``. Two passes: the sketch is off by at most ``n / accuracy``
     ranks, and a bracket reaches twice as far on either side, so it holds its
-    quantile for sure. Groups of up to ``10 * accuracy`` rows are ranked whole
-    (as distinct values with counts).
+    quantile for sure. Its values are counted by equally wide cells, and only
+    within the cells that hold a wanted rank are they sorted. Groups of up to
+    ``10 * accuracy`` rows are one cell (of distinct values with counts).
     """
     shares = dict(sorted(shares.items(), key=lambda item: item[1]))
     numbers = df.select(*keys, *[as_number(c).alias(c) for c in columns])
@@ -69,23 +74,46 @@ def exact_quantiles(
         *[f"_{side}{i}" for i in range(len(shares)) for side in ("low", "high")],
     )
     # the first bracket not below the value holds it, or bounds the gap it lies in
-    inside, place = F.lit(None).cast("boolean"), F.lit(None).cast("double")
+    inside, place, cell = F.lit(None).cast("boolean"), F.lit(None).cast("double"), F.lit(None).cast("long")
     for i in reversed(range(len(shares))):
-        reaches = F.col(VALUE) <= F.col(f"_high{i}")
-        inside = F.when(reaches, F.col(VALUE) >= F.col(f"_low{i}")).otherwise(inside)
-        place = F.when(reaches, F.greatest(F.col(VALUE), F.col(f"_low{i}"))).otherwise(place)
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        reaches, held = F.col(VALUE) <= high, F.col(VALUE) >= low
+        depth = F.coalesce(F.floor(F.try_divide(F.col(VALUE) - low, high - low) * (CELLS - 1)), F.lit(0))
+        closed = (low > float("-inf")) & (high < float("inf"))
+        number = F.when(held, F.when(closed, depth).otherwise(0) + 1).otherwise(0) + i * (CELLS + 1)
+        inside = F.when(reaches, held).otherwise(inside)
+        place = F.when(reaches, F.greatest(F.col(VALUE), low)).otherwise(place)
+        cell = F.when(reaches, number).otherwise(cell)
     counted = (
-        matched.select(*ids, "_n", inside.alias("_inside"), place.alias("_place"))
+        matched.select(*ids, "_n", inside.alias("_inside"), place.alias("_place"), cell.alias("_cell"))
         .filter(F.col("_place").isNotNull())
-        .groupBy(*ids, "_n", "_inside", "_place")
+        .groupBy(*ids, "_n", "_inside", "_place", "_cell")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
+
+    # cells in the order of their values; only those with a wanted rank are looked into
+    so_far = Window.partitionBy(*ids).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = [f((F.col("_n") - 1) * F.lit(s)) for s in shares.values() for f in (F.floor, F.ceil)]
+    wanted = reduce(or_, [(F.col("_before") <= r) & (F.col("_end") > r) for r in ranks])
+    cells = (
+        counted.groupBy(*ids, "_n", "_cell")
+        .agg(F.sum("_rows").alias("_rows"))
+        .withColumn("_end", F.sum("_rows").over(so_far))
+        .withColumn("_before", F.col("_end") - F.col("_rows"))
+        .filter(wanted)
+        .select(*ids, "_cell", "_before")
+    )
+    few = known is not brackets
+    looked = counted.alias("c").join(
+        broadcast_if(cells, few).alias("w"),
+        [F.col(f"c.{c}").eqNullSafe(F.col(f"w.{c}")) for c in [*ids, "_cell"]],
+    )
     order = (
-        Window.partitionBy(*ids)
+        Window.partitionBy(*ids, "_cell")
         .orderBy("_place", "_inside")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = counted.withColumn("_up_to", F.sum("_rows").over(order))
+    ranked = looked.select("c.*", "_before").withColumn("_up_to", F.col("_before") + F.sum("_rows").over(order))
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("_inside") & (F.col("_up_to") > rank), F.col("_place")))
@@ -107,13 +135,13 @@ def exact_quantiles(
     )
 
 
-def quartiles_by(df: DataFrame, keys: Sequence[str], column: str, accuracy: int = 20_000) -> DataFrame:
+def quartiles_by(df: DataFrame, keys: Sequence[str], column: str, accuracy: int = 10_000) -> DataFrame:
     """Quartiles of one column per group: ``q1``, ``median``, ``q3``."""
     names = dict(zip(("q1", "median", "q3"), QUARTILES.values()))
     return exact_quantiles(df, keys, [column], names, accuracy=accuracy).drop("column")
 
 
-def describe(df: DataFrame, columns: Sequence[str], approx: bool = False, accuracy: int = 20_000) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], approx: bool = False, accuracy: int = 10_000) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per column.
 
     ``approx=True`` takes the quartiles from the sketch, which saves a pass. A

@@ -585,7 +585,11 @@ _GRAMS = rf"""words as (
   union all select doc_id, w || ' ' || w2 || ' ' || w3 from near where w3 is not null
   union all select doc_id, w || ' ' || w2 || ' ' || w3 || ' ' || w4 from near where w4 is not null
 )"""
-oracle("ngrams", f"with {_GRAMS} select term, count(*) as n from grams group by term")
+oracle(
+    "ngrams",
+    f"""with {_GRAMS} select doc_id, len(string_split(term, ' '))::integer as words, count(*) as n,
+    count(distinct term) as distinct_terms, min(term) as first_term, max(term) as last_term from grams group by 1, 2""",
+)
 _VOCABULARY = f"""with {_GRAMS}, counted as (
   select term, count(distinct doc_id) as documents, count(*) as occurrences from grams group by term
 ), vocabulary as (

@@ -568,10 +568,15 @@ def remove_stopwords(t):
 
 @query("ngrams")
 def ngrams(t):
-    """Occurrences of every n-gram of one to four words."""
+    """N-grams of every document by length: all, distinct, first and last in order."""
     texts = tfidf.by_document(t.documents, "doc_id", "text")
-    grams = tfidf.terms(texts, "doc_id", "text", 4)
-    return grams.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    grams = tfidf.terms(texts, "doc_id", "text", 4).withColumn("words", F.size(F.split("term", " ")))
+    return grams.groupBy("doc_id", "words").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("term").alias("distinct_terms"),
+        F.min("term").alias("first_term"),
+        F.max("term").alias("last_term"),
+    )
 
 
 @query("tfidf_vocab")
