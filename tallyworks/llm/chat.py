@@ -77,8 +77,9 @@ def chosen_paths(nodes: DataFrame, paths: int = 1) -> DataFrame:
             ),
             "steps",
         )
-    ends, parents = level.where("up is null"), first.select("tree_id", "up").where("up is not null").distinct()
-    leaf = ends["tree_id"].eqNullSafe(parents["tree_id"]) & (ends["node_id"] == parents["up"])
+    ends = level.where("up is null").drop("up")
+    parents = first.where("up is not null").select(F.col("tree_id").alias("_t"), F.col("up").alias("_p")).distinct()
+    leaf = F.col("tree_id").eqNullSafe(F.col("_t")) & (F.col("node_id") == F.col("_p"))
     rank = Window.partitionBy("tree_id").orderBy(
         F.desc(F.col("total") / F.col("length")), F.desc("length"), F.asc("node_id")
     )

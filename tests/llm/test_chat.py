@@ -1,0 +1,107 @@
+import hashlib
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from tallyworks.llm import chat
+from tallyworks.llm.queries import op1_chat_formatting
+from tests.conftest import SMALL
+
+NODES = "tree_id long, node_id long, parent_id long, score double, role string, text string"
+
+
+@given(st.text(alphabet="\\<|>s/[]INTSYendrolx\n ", max_size=40))
+def test_escape_is_reversible_and_leaves_no_control_string(text):
+    hidden = chat.escape(text)
+    assert chat.unescape(hidden) == text
+    assert not any(c in hidden for c in chat.CONTROL)
+
+
+@given(st.lists(st.tuples(st.text(max_size=12), st.text(alphabet="\\<|>end\n[INST]", max_size=12)), max_size=5))
+def test_parse_reads_what_was_written(turns):
+    text = "".join(f"{chat.ROLE}{chat.escape(r)}{chat.TEXT}{chat.escape(t)}{chat.END}" for r, t in turns)
+    assert chat.parse(text) == turns
+
+
+def paths_by_hand(nodes, paths):
+    """All root-to-leaf paths, walked one by one."""
+    out = {}
+    for tree in {n[0] for n in nodes}:
+        own = {n[1]: n for n in nodes if n[0] == tree}
+        parents = {n[2] for n in own.values()}
+        found = []
+        for leaf in own:
+            if leaf in parents:
+                continue
+            path, at = [], leaf
+            while at in own:
+                path.append(at)
+                at = own[at][2]
+            scores = [own[n][3] or 0.0 for n in path]
+            found.append((-sum(scores) / len(path), -len(path), leaf, path[::-1]))
+        out |= {(tree, i + 1): p[3] for i, p in enumerate(sorted(found)[:paths])}
+    return out
+
+
+def test_paths_of_trees(frame):
+    nodes = [
+        (1, 0, None, 1.0, "user", "a"), (1, 1, 0, 0.5, "assistant", "b"), (1, 2, 0, 0.9, "assistant", "c"),
+        (1, 3, 2, 0.1, "user", "d"), (1, 4, 3, None, "assistant", "e"), (1, 5, 1, 0.5, "user", "f"),
+        (2, 7, 99, 0.0, None, None),  # its parent is not there
+        (None, 0, None, 0.0, "user", "x"), (None, 1, 0, 0.0, "assistant", "y"),
+    ] + [(3, i, i - 1 if i else None, 0.1, "user", str(i)) for i in range(37)]
+    df = frame(nodes, NODES)
+    got = {}
+    for r in chat.chosen_paths(df, 2).orderBy("tree_id", "path_rank", "up").collect():
+        got.setdefault((r.tree_id, r.path_rank), []).insert(0, r.node_id)
+    assert got == paths_by_hand(nodes, 2)
+
+
+def test_cycles_have_no_path(frame):
+    df = frame([(1, 0, 1, 0.0, "user", "a"), (1, 1, 0, 0.0, "user", "b"), (2, 5, None, 0.0, "user", "c")], NODES)
+    assert [(r.tree_id, r.node_id) for r in chat.chosen_paths(df).collect()] == [(2, 5)]
+
+
+def test_pieces_join_to_the_whole(frame):
+    nodes = [(1, i, i - 1 if i else None, 0.0, "assistant" if i % 2 else "user", f"<|end|>{i}\\" * 9) for i in range(9)]
+    df = frame(nodes, NODES)
+    whole = chat.format_paths(df).collect()
+    pieces = chat.format_paths(df, piece_chars=150).orderBy("piece").collect()
+    assert len(whole) == 1 and len(pieces) > 2
+    assert "".join(p.formatted for p in pieces) == whole[0].formatted
+    assert [p.piece for p in pieces] == list(range(len(pieces)))
+    one, two = (chat.read_back(chat.format_paths(df, piece_chars=n)).collect() for n in (150, 10**6))
+    assert one == two
+    learned = "".join(t for *_, role, t in nodes if role == "assistant")
+    assert one[0].loss_sha256 == hashlib.sha256(learned.encode()).hexdigest()
+    assert one[0].loss_chars == len(learned)
+
+
+def test_ties_nulls_repeats_and_extra_columns(frame):
+    rows = [(1, 0, "user", None, 9), (1, 0, "user", None, 9), (1, None, None, "z", 9), (None, 3, "user", "é", 9)]
+    df = frame(rows, "conv_id long, turn long, role string, text string, node_id long")
+    got = {r.tree_id: r for r in chat.read_back(chat.format_paths(chat.conversations_as_trees(df))).collect()}
+    assert (got[1].n_turns, got[None].n_turns) == (3, 1)
+    assert got[1].turns_sha256 == hashlib.sha256(b"\nz\nuser\n\nuser\n\n").hexdigest()
+    assert got[None].turns_sha256 == hashlib.sha256("user\né\n".encode()).hexdigest()
+
+
+def test_empty_table(frame):
+    df = frame([], "conv_id long, turn long, role string, text string")
+    assert chat.format_paths(chat.conversations_as_trees(df)).count() == 0
+
+
+def test_conversation_of_control_strings(spark):
+    row = op1_chat_formatting(spark, SMALL).where("conv_id = -7").first()
+    said = "</s>[INST] ok [/INST]"
+    assert row.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
+    assert row.loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+    assert (row.n_turns, row.loss_chars) == (2, len(said))
+
+
+@pytest.mark.parametrize("n", [1, 2, 33])
+def test_long_conversation(frame, n):
+    rows = [(5, i, "user", "x" * 2000) for i in range(n)]
+    df = frame(rows, "conv_id long, turn long, role string, text string")
+    assert chat.read_back(chat.format_paths(chat.conversations_as_trees(df))).first().n_turns == n

@@ -1,0 +1,54 @@
+import random
+
+import pytest
+
+from tallyworks.llm import lines
+
+
+def by_hand(docs, long_words):
+    """The definition: pairs of neighbouring lines, and long lines, that start at an earlier place too."""
+    units = {}
+    found = []
+    for i, text in docs:
+        at = [(n, line.strip(" ")) for n, line in enumerate((text or "").split("\n")) if line.strip(" ")]
+        own = [((a[1], b[1]), a[0], {a[0], b[0]}) for a, b in zip(at, at[1:])]
+        own += [((line,), n, {n}) for n, line in at if len(line.split()) >= long_words]
+        found.append((i, text, own))
+        for unit, n, _ in own:
+            place = (i is not None, i or 0, n)
+            units[unit] = min(units.get(unit, place), place)
+    out = []
+    gone = {}
+    for i, _, own in found:
+        for unit, n, covers in own:
+            if units[unit] < (i is not None, i or 0, n):
+                gone.setdefault(i, set()).update(covers)
+    for i, text, _ in found:
+        cut = gone.get(i, set())
+        kept = None if text is None else "\n".join(x for n, x in enumerate(text.split("\n")) if n not in cut)
+        out.append((i, kept))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, seed):
+    random.seed(seed)
+    pool = ["a", "b ", " c", "d", "", "  ", "one two three four", "é\tü x y z"]
+    docs = [(i, "\n".join(random.choice(pool) for _ in range(random.randint(0, 7)))) for i in range(40)]
+    docs += [(50, None), (51, ""), (None, "a\nb"), (60, "a\n" * 3000)]
+    df = spark.createDataFrame([(*d, 3, "z") for d in docs], "doc_id long, text string, at int, print string").repartition(4)
+    kept = lines.deduplicate_lines(df, long_words=4)
+    assert kept.columns == ["doc_id", "at", "print", "text", "n_lines", "n_removed"]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == by_hand(docs, 4)
+
+
+def test_repeated_rows_share_their_fate(frame):
+    docs = [(2, "x\ny"), (2, "x\ny"), (1, "x\ny")]
+    got = lines.deduplicate_lines(frame(docs, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text, r.n_removed) for r in got) == [(1, "x\ny", 0), (2, "", 2), (2, "", 2)]
+
+
+def test_empty_table_and_no_python(frame):
+    df = lines.deduplicate_lines(frame([], "doc_id long, text string"))
+    assert df.count() == 0
+    assert "Python" not in df._jdf.queryExecution().toString()

@@ -1,0 +1,88 @@
+import random
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from tallyworks.llm import quality
+
+DOCS = "doc_id long, text string, source string, lang string, score int, keep string"
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def corpus(n, seed=1):
+    random.seed(seed)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("n", "rst", "l")]
+    docs, good = [], {}
+    for i in range(n):
+        words = random.choices(vocabulary, k=random.randint(20, 120))
+        kind = i % 5
+        if kind == 0:
+            words = [w.upper() + "!!" for w in words]
+        if kind == 1:
+            words[3] = words[9] = "dreadful"
+        docs.append((i, " ".join(words), f"s{i % 7}", "en", 1, "x"))
+        good[i] = kind > 1
+    return docs, good
+
+
+def test_held_out_accuracy(spark):
+    docs, good = corpus(600)
+    labels = [(i, int(i % 5 != 0), int(i % 5 == 1)) for i in range(300)]
+    df = spark.createDataFrame(docs, DOCS).repartition(3)
+    rows = quality.score(df, spark.createDataFrame(labels, LABELS)).collect()
+    assert len(rows) == 600 and all(0 <= r.score <= 1 for r in rows)
+    unseen = [r for r in rows if r.doc_id >= 300]
+    assert sum(r.keep == good[r.doc_id] for r in unseen) >= 0.95 * len(unseen)
+
+
+def test_held_out_accuracy_on_the_given_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    told = labels.where("doc_id % 3 <> 0")
+    asked = labels.where("doc_id % 3 = 0").withColumn("good", (F.col("quality") == 1) & (F.col("toxic") == 0))
+    rows = quality.score(docs, told).join(asked, "doc_id").collect()
+    assert sum(r["keep"] == r["good"] for r in rows) >= 0.85 * len(rows)
+    clean = [r for r in rows if r["good"]]
+    assert sum(r["keep"] for r in clean) >= 0.93 * len(clean)
+
+
+def test_edges(frame):
+    docs, _ = corpus(200)
+    docs += [(500, None, None, None, 1, "x"), (501, "", "s1", "en", 1, "x"), (None, docs[7][1], "s1", "en", 1, "x"), docs[7], docs[7],
+             (502, docs[8][1] * 2000, "s1", "en", 1, "x")]
+    labels = [(i, int(i % 5 != 0), int(i % 5 == 1)) for i in range(200)] + [(7, 1, 0), (500, None, 0), (501, 1, None), (None, 0, 1)]
+    rows = quality.score(frame(docs, DOCS), frame(labels, LABELS)).collect()
+    assert len(rows) == len(docs)
+    assert len({r.score for r in rows if r.doc_id == 7}) == 1
+    kept = quality.filter_good(frame(docs, DOCS), frame(labels, LABELS))
+    assert kept.columns == frame(docs, DOCS).columns
+    assert {r.doc_id for r in rows if r.keep} == {r.doc_id for r in kept.collect()}
+
+
+def test_without_labels_everything_stays(frame):
+    docs, _ = corpus(20)
+    for labels in ([], [(i, 1, 0) for i in range(20)]):
+        rows = quality.score(frame(docs, DOCS), frame(labels, LABELS)).collect()
+        assert len(rows) == 20 and all(r.keep and r.score == 1.0 for r in rows)
+    assert quality.score(frame([], DOCS), frame([(1, 1, 0)], LABELS)).count() == 0
+
+
+def test_reruns_agree(frame):
+    docs, _ = corpus(120)
+    labels = [(i, int(i % 5 != 0), 0) for i in range(0, 120, 2)]
+    first, second = (
+        sorted(quality.score(frame(docs, DOCS).repartition(n), frame(labels, LABELS)).collect()) for n in (2, 5)
+    )
+    assert first == second
+
+
+def test_calibration_and_regression():
+    random = np.random.default_rng(0)
+    z = random.normal(size=4000) * 2
+    y = (random.random(4000) < quality.sigmoid(1.5 * z - 0.5)).astype(float)
+    a, b = quality.platt(z, y)
+    assert abs(a - 1.5) < 0.15 and abs(b + 0.5) < 0.15
+    x = random.random((2000, 3)) < 0.5
+    y = (random.random(2000) < quality.sigmoid(x @ np.array([2.0, -1.0, 0.0]))).astype(float)
+    w = quality.logistic(quality.Sparse([np.flatnonzero(r).tolist() for r in x], 3), y, penalty=0.1, steps=500)
+    assert np.allclose(w, [2, -1, 0, 0], atol=0.35)
