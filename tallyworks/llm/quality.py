@@ -216,8 +216,8 @@ def _views(docs: DataFrame, *carry: str) -> DataFrame:
     return small_batches(docs).select(*carry, F.col("text").cast("binary").alias("_raw"), *wanted)
 
 
-def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(key, *carry, score, keep)`` for every row: the probability that a document is good, and whether it stays.
+def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, score, keep)`` for every row: the probability that a document is good, and whether it stays.
 
     ``labels`` has ``key``, ``quality`` and ``toxic``: good is quality 1 and not toxic; a null label is no label, and
     of contradicting labels of a key the worse counts. The two classifiers are fitted on
@@ -225,6 +225,12 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", carry: tuple[
     key, on the driver; every document is scored, with its whole text. Null and empty texts are scored by
     their metadata. Without labels of both classes everything stays, with score 1.
     """
+    scored = _scored(docs, labels, key, [key])
+    return scored.select(key, F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).alias("keep"))
+
+
+def _scored(docs: DataFrame, labels: DataFrame, key: str, carry: list[str]) -> DataFrame:
+    """The columns ``carry`` of every row, and ``_score``."""
     good = (F.col("quality") == 1) & (F.col("toxic") == 0)
     judged = labels.where("quality is not null and toxic is not null").groupBy(F.col(key).alias("_id")).agg(
         F.min(good).alias("good")
@@ -242,7 +248,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", carry: tuple[
     )
     rows = docs.join(F.broadcast(drawn.withColumnRenamed(key, "_id")), F.col(key) == F.col("_id"))
     if rows.limit(1).count() == 0:
-        return docs.select(key, *carry, F.lit(1.0).alias("score"), F.lit(True).alias("keep"))
+        return docs.select(*carry, F.lit(1.0).alias("_score"))
     sample = _views(rows.select(*docs.columns), key)
     told = drawn.select(F.col(key).alias("_id"), "good")
 
@@ -271,7 +277,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", carry: tuple[
         [(*item(r), r["good"]) for r in fitted if r["good"] is not None], [item(r) for r in fitted if r["good"] is None]
     )
     if model is None:
-        return docs.select(key, *carry, F.lit(1.0).alias("score"), F.lit(True).alias("keep"))
+        return docs.select(*carry, F.lit(1.0).alias("_score"))
     words, page, weights = model
     # plain numbers for the workers
     plain = docs.sparkSession.sparkContext.broadcast(
@@ -291,15 +297,11 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", carry: tuple[
                 views[1].log_odds([views[1].features(metadata(*row)) for row in rows]),
             ]
             p = sigmoid(np.stack([*odds, np.ones(len(rows))], axis=1) @ weights)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in out), pa.array(p)], names=[*out, "score"]
-            )
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), pa.array(p)], names=[*carry, "_score"])
 
-    out = list(dict.fromkeys([key, *carry]))
-    scored = _views(docs, *out).mapInArrow(scoring, docs.select(*out).schema.add("score", "double"))
-    return scored.withColumn("keep", F.col("score") >= THRESHOLD)
+    return _views(docs, *carry).mapInArrow(scoring, docs.select(*carry).schema.add("_score", "double"))
 
 
 def filter_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that the classifier keeps. Texts are scored and filtered where they are, without a shuffle."""
-    return score(docs, labels, key, tuple(docs.columns)).where("keep").select(*docs.columns)
+    return _scored(docs, labels, key, docs.columns).where(F.col("_score") >= THRESHOLD).select(*docs.columns)
