@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyworks import schemas
-from tallyworks.operators.sizes import spread
+from tallyworks.sources.readers import read_parquet
 
 
 class Tables:
@@ -17,7 +17,7 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return read_parquet(self.spark, f"{self.folder}/{name}.parquet", nan_as_null=False)
 
     # --- video watching -------------------------------------------------------
 
@@ -221,7 +221,7 @@ class Tables:
     # --- case notes ---------------------------------------------------------------
 
     def raw_notes(self) -> DataFrame:
-        return spread(self.documents).join(self.labels, "doc_id").select(
+        return self.documents.join(self.labels, "doc_id").select(
             "doc_id",
             F.col("text").alias("Last10Chronos"),
             F.when(F.col("quality") == 1, "Successful").otherwise("Unsuccessful").alias("CloseType"),

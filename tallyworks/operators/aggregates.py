@@ -108,10 +108,14 @@ def cross_counts(df: DataFrame, row: str, column: str, values: Sequence[str]) ->
     """Contingency table, one column per listed value; absent pairs count 0.
 
     With the values known, one conditional count each needs a single shuffle;
-    ``pivot`` would aggregate by pair first and then again by row.
+    ``pivot`` would aggregate by pair first and then again by row. A value that is
+    not listed is an error when the table is computed: no row is left out.
     """
-    kept = drop_missing_keys(df, [row, column]).filter(F.col(column).isin(list(values)))
-    return conditional_counts(kept, [row], {v: F.col(column) == v for v in values})
+    kept = drop_missing_keys(df, [row, column])
+    counts = {v: F.col(column) == v for v in values} | {"_other": ~F.col(column).isin(list(values))}
+    message = F.concat(F.lit(f"{column} has values other than {list(values)} in "), F.col(row).cast("string"))
+    checked = {v: F.when(F.col("_other") > 0, F.raise_error(message)).otherwise(F.col(v)) for v in values}
+    return conditional_counts(kept, [row], counts).withColumns(checked).drop("_other")
 
 
 def null_profile(df: DataFrame, digits: int = 3) -> DataFrame:

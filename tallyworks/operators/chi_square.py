@@ -3,46 +3,44 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tallyworks.functions.nulls import safe_ratio
-from tallyworks.operators.aggregates import cross_counts
+from tallyworks.operators.aggregates import drop_missing_keys, rows
 
 
-def expected_counts(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
+def expected_counts(df: DataFrame, row: str, column: str) -> DataFrame:
     """Observed and expected count of every cell: ``(row, column, observed, expected)``.
 
-    ``values`` are the levels of ``column``; those of ``row`` come from the data.
+    All levels found in the data count; a pair that never occurs is observed 0
+    times. Rows without either key belong to no cell. The table is aggregated to
+    cells once, margins and absent cells are made from these.
     """
-    observed = cross_counts(df, row, column, values)
-    sums = observed.agg(F.struct(*[F.sum(v).alias(v) for v in values]).alias("sums")).scalar()
-    with_totals = observed.withColumn("_sums", sums).withColumn(
-        "_row_total", sum((F.col(v) for v in values), F.lit(0))
+    cells = drop_missing_keys(df, [row, column]).groupBy(row, column).agg(rows("_observed"))
+    by_row = cells.groupBy(F.col(row).alias("_row")).agg(F.sum("_observed").alias("_row_total"))
+    by_column = cells.groupBy(F.col(column).alias("_column")).agg(F.sum("_observed").alias("_column_total"))
+    grand = cells.agg(F.sum("_observed")).scalar()
+    # one row per pair of levels, which is what the result has
+    grid = by_row.crossJoin(by_column)
+    same = (cells[row] == grid["_row"]) & (cells[column] == grid["_column"])
+    expected = safe_ratio(F.col("_row_total").cast("double") * F.col("_column_total"), grand)
+    return grid.join(cells, same, "left").select(
+        F.col("_row").alias(row),
+        F.col("_column").alias(column),
+        F.coalesce("_observed", F.lit(0)).alias("observed"),
+        expected.alias("expected"),
     )
-    grand = sum((F.col(f"_sums.`{v}`") for v in values), F.lit(0))
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(v).alias(column),
-                F.col(v).alias("observed"),
-                safe_ratio(F.col("_row_total").cast("double") * F.col(f"_sums.`{v}`"), grand).alias("expected"),
-            )
-            for v in values
-        ]
-    )
-    return with_totals.select(row, F.inline(cells))
 
 
-def chi_square(df: DataFrame, row: str, column: str, values: Sequence[str], correction: bool = True) -> DataFrame:
+def chi_square(df: DataFrame, row: str, column: str, correction: bool = True) -> DataFrame:
     """One row: ``statistic`` and ``dof``.
 
     With one degree of freedom each difference is reduced by up to a half
     (Yates), unless ``correction`` is off.
     """
-    cells = expected_counts(df, row, column, values).filter(F.col("expected") > 0)
+    cells = expected_counts(df, row, column)
     gap = F.abs(F.col("observed") - F.col("expected"))
     plain = F.sum(gap * gap / F.col("expected"))
     reduced = gap - F.least(F.lit(0.5), gap)

@@ -104,9 +104,33 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def correlation_with(df: DataFrame, columns: Sequence[str], outcome: Column) -> DataFrame:
-    """Correlation of every column with an outcome, ascending; rows ``(column, r)``."""
+    """Correlation of every column with an outcome; rows ``(column, r)``, missing without variation."""
     numbers = df.select(outcome.cast("double").alias("_y"), *[as_number(c).alias(c) for c in columns])
     pairs = numbers.unpivot(["_y"], list(columns), "column", "_x")
-    complete = pairs.filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    r = safe_ratio(F.covar_pop("_x", "_y"), F.stddev_pop("_x") * F.stddev_pop("_y"))
-    return complete.groupBy("column").agg(r.alias("r")).orderBy(F.asc("r"), "column")
+    x, y = F.when(F.col("_y").isNotNull(), F.col("_x")), F.when(F.col("_x").isNotNull(), F.col("_y"))
+    r = safe_ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return pairs.groupBy("column").agg(r.alias("r"))
+
+
+def correlation_of_levels(df: DataFrame, columns: Sequence[str], outcome: Column) -> DataFrame:
+    """Correlation of every level's 0/1 flag with an outcome; rows ``(column, r)``, named ``column_level``.
+
+    Flags are never made: a level needs its rows and the sum of their outcomes, the rest is
+    the same for all. A missing category has no flag set.
+    """
+    known = df.select(outcome.cast("double").alias("_y"), *columns).filter(F.col("_y").isNotNull())
+    whole = known.agg(
+        F.count("_y").alias("n"), F.avg("_y").alias("mean"), F.stddev_pop("_y").alias("std")
+    )
+    levels = (
+        df.select(outcome.cast("double").alias("_y"), *columns)
+        .unpivot(["_y"], list(columns), "_of", "_level")
+        .filter(F.col("_level").isNotNull())
+        .groupBy("_of", "_level")
+        .agg(F.count("_y").alias("_n"), F.sum("_y").alias("_sum"))
+    )
+    total = whole.agg(F.first(F.struct("n", "mean", "std"))).scalar()
+    share = safe_ratio("_n", total["n"])
+    covariance = safe_ratio(F.col("_sum") - F.col("_n") * total["mean"], total["n"])
+    r = safe_ratio(covariance, F.sqrt(share * (1 - share)) * total["std"])
+    return levels.select(F.concat_ws("_", "_of", "_level").alias("column"), r.alias("r"))

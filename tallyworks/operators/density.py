@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from math import pi, sqrt
 
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyworks.functions.nulls import safe_ratio
 from tallyworks.operators.aggregates import drop_missing_keys, rows
-from tallyworks.operators.sizes import settle
 
 
 def bin_start(column: str, width: float) -> Column:
@@ -38,48 +40,107 @@ def density_2d(df: DataFrame, keys: Sequence[str], x: str, y: str, x_width: floa
     )
 
 
+def density_panels(
+    df: DataFrame, keys: Sequence[str], panels: Mapping[str, tuple[str, float, str, float]]
+) -> DataFrame:
+    """Several grids of :func:`density_2d` in one pass; a panel is ``(x, x width, y, y width)``."""
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("panel"),
+                bin_start(x, x_width).cast("double").alias("x_bin"),
+                bin_start(y, y_width).cast("double").alias("y_bin"),
+            )
+            for name, (x, x_width, y, y_width) in panels.items()
+        ]
+    )
+    placed = drop_missing_keys(df, keys).select(*keys, F.inline(cells))
+    return drop_missing_keys(placed, ["x_bin", "y_bin"]).groupBy(*keys, "panel", "x_bin", "y_bin").agg(rows())
+
+
 def kernel_density(
     df: DataFrame,
     keys: Sequence[str],
     column: str,
     points: int = 200,
     extend: float = 3.0,
-    bin_width: float | None = None,
+    continuous: bool = False,
 ) -> DataFrame:
     """Gaussian kernel density per group on an even grid of ``points``.
 
     Bandwidth is ``std * n ** (-1/5)``; the grid reaches ``extend`` bandwidths
-    past the data. Equal values are collapsed to one weighted value first, so
-    the cost is distinct values times points, and every task adds up its own
-    share of the grid before the shuffle. ``bin_width`` rounds continuous data
-    to bins beforehand, to bound the number of distinct values.
+    past the data. A measure with few distinct values is collapsed to weighted
+    values: all else, the statistics too, is made from these. With ``continuous``
+    the caller says that most values differ, and that the groups are few (a chart
+    is drawn of each): the statistics go to every task, which adds its rows to the grids
+    of their groups, and one row per task, group and point is shuffled.
     """
     value = F.col(column).cast("double")
-    if bin_width is not None:
-        value = F.round(value / bin_width) * bin_width
     data = drop_missing_keys(df, [*keys, column]).select(*keys, value.alias("value"))
-    stats = (
-        data.groupBy(*keys)
-        .agg(
-            F.count("value").alias("n"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("low"),
-            F.max("value").alias("high"),
+    if continuous:
+        plain = data.groupBy(*keys).agg(
+            F.count("value").alias("n"), F.stddev_samp("value").alias("std"),
+            F.min("value").alias("low"), F.max("value").alias("high"),
         )
-        .filter(F.col("std") > 0)
+        bumps = _task_grids(data, F.broadcast(_grids(plain, keys, points, extend)), keys, points)
+    else:
+        weighted = data.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("weight"))
+        group = Window.partitionBy(*keys)
+        mean = F.sum(F.col("weight") * F.col("value")).over(group) / F.sum("weight").over(group)
+        squares = F.sum(F.col("weight") * F.pow(F.col("value") - F.col("mean"), F.lit(2)))
+        collapsed = weighted.withColumn("mean", mean).groupBy(*keys).agg(
+            F.sum("weight").alias("n"), F.sqrt(safe_ratio(squares, F.sum("weight") - 1)).alias("std"),
+            F.min("value").alias("low"), F.max("value").alias("high"),
+        )
+        on_grid = (
+            weighted.join(_grids(collapsed, keys, points, extend), list(keys))
+            .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+            .withColumn("x", F.col("first") + F.col("point") * F.col("step"))
+        )
+        distance = (F.col("x") - F.col("value")) / F.col("width")
+        bump = F.sum(F.col("weight") * F.exp(F.lit(-0.5) * distance * distance))
+        bumps = on_grid.groupBy(*keys, "point", "x", "n", "width").agg(bump.alias("bump"))
+    density = F.col("bump") / (F.col("n") * F.col("width") * F.lit(sqrt(2 * pi)))
+    return bumps.select(*keys, "point", "x", density.alias("density"))
+
+
+def _grids(stats: DataFrame, keys: Sequence[str], points: int, extend: float) -> DataFrame:
+    """The grid of every group that varies."""
+    return (
+        stats.filter(F.col("std") > 0)
         .withColumn("width", F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
         .withColumn("first", F.col("low") - extend * F.col("width"))
         .withColumn("step", (F.col("high") - F.col("low") + 2 * extend * F.col("width")) / (points - 1))
         .select(*keys, "n", "width", "first", "step")
     )
-    weighted = data.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("weight"))
-    on_grid = (
-        weighted.join(settle(stats), list(keys))
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-        .withColumn("x", F.col("first") + F.col("point") * F.col("step"))
-    )
-    distance = (F.col("x") - F.col("value")) / F.col("width")
-    bump = F.sum(F.col("weight") * F.exp(F.lit(-0.5) * distance * distance))
-    return on_grid.groupBy(*keys, "point", "x", "n", "width").agg(bump.alias("bump")).select(
-        *keys, "point", "x", (F.col("bump") / (F.col("n") * F.col("width") * F.lit(sqrt(2 * pi)))).alias("density")
+
+
+def _task_grids(data: DataFrame, grids: DataFrame, keys: Sequence[str], points: int) -> DataFrame:
+    """Bumps added up on the grid of every group, task by task, then over tasks."""
+    joined = data.join(grids, list(keys)).select(F.struct(*keys, "n", "width", "first", "step").alias("grid"), "value")
+    # the grid's own numbers tell groups apart once the names are text
+    rows = joined.select(F.to_json("grid").alias("name"), "grid.width", "grid.first", "grid.step", "value")
+
+    def adding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            names = batch.column("name").dictionary_encode()
+            codes, labels = np.asarray(names.indices), names.dictionary.to_pylist()
+            width, first, step, value = (np.asarray(batch.column(c)) for c in ("width", "first", "step", "value"))
+            for code, label in enumerate(labels):
+                at = np.flatnonzero(codes == code)
+                grid = first[at[0]] + np.arange(points) * step[at[0]]
+                total = sums.setdefault(label, np.zeros(points))
+                for part in np.array_split(value[at], max(1, len(at) // 2_000)):
+                    total += np.exp(-0.5 * ((grid[:, None] - part) / width[at[0]]) ** 2).sum(axis=1)
+        for label, total in sums.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([label] * points), pa.array(np.arange(points, dtype=np.int32)), pa.array(total)],
+                names=["name", "point", "bump"],
+            )
+
+    added = rows.mapInArrow(adding, "name string, point int, bump double").groupBy("name", "point").agg(
+        F.sum("bump").alias("bump")
     )
+    named = grids.select(F.to_json(F.struct(*keys, "n", "width", "first", "step")).alias("name"), "*")
+    return added.join(named, "name").withColumn("x", F.col("first") + F.col("point") * F.col("step"))

@@ -33,3 +33,14 @@ def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
         for level in known
     ]
     return df.select(*[F.col(c) for c in df.columns if c not in levels], *flags)
+
+
+def flags(df: DataFrame, id_column: str, columns: Sequence[str]) -> DataFrame:
+    """Long one-hot: a row ``(id, flag)`` for every flag that is set, named ``column_level``.
+
+    Levels are those of the data, however many; a missing value sets no flag.
+    """
+    long = df.select(id_column, *columns).unpivot([id_column], list(columns), "_column", "_level")
+    return long.filter(F.col("_level").isNotNull()).select(
+        id_column, F.concat_ws("_", "_column", "_level").alias("flag")
+    )

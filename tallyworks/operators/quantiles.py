@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyworks.operators.aggregates import as_number, melt
-from tallyworks.operators.sizes import broadcast_if, settle
+from tallyworks.operators.aggregates import as_number, level_table, melt
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
 VALUE = "value"
@@ -35,13 +34,13 @@ def exact_quantiles(
     Returns keys, ``column``, a column per named share, and ``extra`` aggregates
     of ``value``. Two passes: the sketch is off by at most ``n / accuracy``
     ranks, and a bracket reaches twice as far on either side, so it holds its
-    quantile for sure. Its values are counted by equally wide cells, and only
+    quantile for sure; that is checked. Its values are counted by equally wide cells, and only
     within the cells that hold a wanted rank are they sorted. Groups of up to
     ``10 * accuracy`` rows are one cell (of distinct values with counts).
     """
     shares = dict(sorted(shares.items(), key=lambda item: item[1]))
     numbers = df.select(*keys, *[as_number(c).alias(c) for c in columns])
-    long = melt(numbers, keys, columns, "column", VALUE).filter(F.col(VALUE).isNotNull())
+    long = melt(numbers, keys, columns, "column", VALUE)
     ids = [*keys, "column"]
 
     margin = 2.0 / accuracy
@@ -58,6 +57,7 @@ def exact_quantiles(
             return open_end
         return F.when(wide_enough, F.get("_ends", F.lit(2 * i + (side == "high")))).otherwise(open_end)
 
+    sides = [f"_{side}{i}" for i in range(len(shares)) for side in ("low", "high")]
     bracket_ends = [
         end(side, i, share).alias(f"_{side}{i}")
         for i, share in enumerate(shares.values())
@@ -65,14 +65,17 @@ def exact_quantiles(
     ]
     brackets = sketched.select("*", *bracket_ends).drop("_ends")
 
-    known = settle(brackets)
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ids]
-    matched = long.alias("l").join(known.alias("b"), same).select(
-        *[F.col(f"l.{c}").alias(c) for c in ids],
-        F.col(f"l.{VALUE}").alias(VALUE),
-        "_n",
-        *[f"_{side}{i}" for i in range(len(shares)) for side in ("low", "high")],
-    )
+    present = long.filter(F.col(VALUE).isNotNull())
+    if keys:
+        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ids]
+        matched = present.alias("l").join(brackets.alias("b"), same).select(
+            *[F.col(f"l.{c}").alias(c) for c in ids], F.col(f"l.{VALUE}").alias(VALUE), "_n", *sides
+        )
+    else:
+        # one bracket per listed column: a single value that is handed to every row, without a join
+        entry = F.struct("column", F.struct("_n", *sides))
+        known = brackets.agg(F.map_from_entries(F.collect_list(entry))).scalar()
+        matched = present.withColumn("_b", F.element_at(known, F.col("column"))).select("column", VALUE, "_b.*")
     # the first bracket not below the value holds it, or bounds the gap it lies in
     inside, place, cell = F.lit(None).cast("boolean"), F.lit(None).cast("double"), F.lit(None).cast("long")
     for i in reversed(range(len(shares))):
@@ -103,9 +106,8 @@ def exact_quantiles(
         .filter(wanted)
         .select(*ids, "_cell", "_before")
     )
-    few = known is not brackets
     looked = counted.alias("c").join(
-        broadcast_if(cells, few).alias("w"),
+        cells.alias("w"),
         [F.col(f"c.{c}").eqNullSafe(F.col(f"w.{c}")) for c in [*ids, "_cell"]],
     )
     order = (
@@ -123,13 +125,23 @@ def exact_quantiles(
         low, high = value_at(F.floor(rank)), value_at(F.ceil(rank))
         return low + (high - low) * F.max(rank - F.floor(rank))
 
-    found = ranked.groupBy(*ids).agg(*[quantile(s).alias(name) for name, s in shares.items()])
-    if not extra:
-        return found
-    rest = known.drop("_n", *[f"_{side}{i}" for i in range(len(shares)) for side in ("low", "high")])
+    # a wanted rank that no bracket held would be missing: an error, never another value
+    held = [F.count_if(F.col("_inside") & (F.col("_up_to") > r) & (F.col("_up_to") - F.col("_rows") <= r)) for r in ranks]
+    complete = reduce(and_, [h > 0 for h in held])
+    values = [quantile(s).alias(name) for name, s in shares.items()]
+    found = ranked.groupBy(*ids).agg(complete.alias("_complete"), *values)
+    checked = [
+        F.when(F.col("_complete"), F.col(f"`{name}`"))
+        .otherwise(F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double"))
+        .alias(name)
+        for name in shares
+    ]
+    found = found.select(*ids, *checked)
+    # groups without any value have a row too
+    rest = brackets.drop("_n", *sides)
     same = [F.col(f"f.{c}").eqNullSafe(F.col(f"r.{c}")) for c in ids]
-    return found.alias("f").join(rest.alias("r"), same).select(
-        *[F.col(f"f.{c}") for c in ids],
+    return rest.alias("r").join(found.alias("f"), same, "left").select(
+        *[F.col(f"r.{c}") for c in ids],
         *[F.col(f"f.`{c}`") for c in shares],
         *[F.col(f"r.{c}") for c in rest.columns if c not in ids],
     )
@@ -145,7 +157,7 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False, accura
     """Count, mean, standard deviation, minimum, quartiles and maximum per column.
 
     ``approx=True`` takes the quartiles from the sketch, which saves a pass. A
-    column without any value has no row.
+    column without any value has count 0 and nothing else, also in an empty table.
     """
     moments = [
         F.count(VALUE).cast("double").alias("count"),
@@ -157,8 +169,10 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False, accura
     if approx:
         long = melt(df.select(*[as_number(c).alias(c) for c in columns]), [], columns, "column", VALUE)
         sketch = F.percentile_approx(VALUE, list(QUARTILES.values()), accuracy).alias("_ends")
-        stats = long.filter(F.col(VALUE).isNotNull()).groupBy("column").agg(*moments, sketch)
+        stats = long.groupBy("column").agg(*moments, sketch)
         stats = stats.withColumns({name: F.get("_ends", F.lit(i)) for i, name in enumerate(QUARTILES)})
     else:
         stats = exact_quantiles(df, [], columns, QUARTILES, moments, accuracy)
+    listed = level_table(df.sparkSession, "column", columns)
+    stats = listed.join(stats, "column", "left").fillna(0.0, ["count"])
     return stats.select("column", "count", "mean", "std", "min", *[F.col(f"`{q}`") for q in QUARTILES], "max")

@@ -7,22 +7,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tallyworks.operators.sizes import broadcast_if, has_few
-
 
 def top_k(df: DataFrame, by: str, k: int, tie_break: Sequence[str]) -> DataFrame:
     """The k largest rows; equal values are told apart by ``tie_break``."""
     return df.orderBy(F.col(by).desc_nulls_last(), *[F.col(c).asc() for c in tie_break]).limit(k)
 
 
-def top_k_with_ties(df: DataFrame, group: Sequence[str], by: str, k: int, few_groups: bool = False) -> DataFrame:
+def top_k_with_ties(df: DataFrame, group: Sequence[str], by: str, k: int) -> DataFrame:
     """Rows whose descending rank in their group is at most k, ties included.
 
     A rank is at most k exactly when the value is not below the k-th largest.
     So only k values per group and task are shuffled to find that cut
     (``row_number`` limits early, ``rank`` would carry every tie along), and the
-    rows are then kept by a comparison, wherever they are. ``few_groups`` says
-    the number of groups was checked, so the cuts may be broadcast.
+    rows are then kept by a comparison, wherever they are. How the cuts reach
+    the rows is left to the adaptive planner.
     """
     order = Window.partitionBy(*group).orderBy(F.col(by).desc_nulls_last())
     cut = (
@@ -37,7 +35,7 @@ def top_k_with_ties(df: DataFrame, group: Sequence[str], by: str, k: int, few_gr
     )
     same_group = [df[g].eqNullSafe(cut[f"_{g}"]) for g in group]
     return (
-        df.join(broadcast_if(cut, few_groups), same_group)
+        df.join(cut, same_group)
         .filter(F.col("_cut").isNull() | (F.col(by) >= F.col("_cut")))
         .select(df.columns)
     )
@@ -60,7 +58,7 @@ def hash_key(id_column: str, seed: int) -> Column:
 
 
 def hash_cut(
-    df: DataFrame, quota: DataFrame, group: Sequence[str], key: str, few_groups: bool, digits: int = 5
+    df: DataFrame, quota: DataFrame, group: Sequence[str], key: str, digits: int = 5
 ) -> DataFrame:
     """The hash key up to which each group reaches its quota of rows.
 
@@ -75,13 +73,13 @@ def hash_cut(
     so_far = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     edge = (
         counts.withColumn("_up_to", F.sum("_n").over(so_far))
-        .join(broadcast_if(quota, few_groups), list(group))
+        .join(quota, list(group))
         .filter((F.col("_up_to") >= F.col("need")) & (F.col("_up_to") - F.col("_n") < F.col("need")))
         .select(*group, "_bucket", (F.col("need") - F.col("_up_to") + F.col("_n")).alias("_more"))
     )
     within = Window.partitionBy(*group).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
     return (
-        bucketed.join(broadcast_if(edge, few_groups), [*group, "_bucket"])
+        bucketed.join(edge, [*group, "_bucket"])
         .groupBy(*group, "_key", "_more")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_up_to", F.sum("_n").over(within))
@@ -101,7 +99,7 @@ def split(df: DataFrame, id_column: str, test_share: float = 0.3, seed: int = 0)
     # all keys have the same length: one group, and still a key to join by
     keys = keyed.select(F.length("_key").alias("_all"), "_key")
     quota = keys.groupBy("_all").agg(F.ceil(F.count(F.lit(1)) * F.lit(test_share)).alias("need"))
-    cut = hash_cut(keys, quota, ["_all"], "_key", few_groups=True).select("cut").scalar()
+    cut = hash_cut(keys, quota, ["_all"], "_key").select("cut").scalar()
     part = F.when(F.col("_key") <= cut, "test").otherwise("train")
     return keyed.withColumn("part", part).drop("_key")
 
@@ -116,9 +114,8 @@ def balance(df: DataFrame, label: str, id_column: str, seed: int = 0) -> DataFra
     """Keep as many rows of every class as the rarest class has, chosen by hash."""
     keyed = df.filter(F.col(label).isNotNull()).withColumn("_key", hash_key(id_column, seed))
     keys = keyed.select(label, "_key")
-    few = has_few(keys.select(label))
     sizes = keys.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
     rarest = sizes.agg(F.min("_size")).scalar()
-    cut = hash_cut(keys, sizes.select(label, rarest.alias("need")), [label], "_key", few)
-    kept = keyed.join(broadcast_if(cut, few), label).filter(F.col("_key") <= F.col("cut"))
+    cut = hash_cut(keys, sizes.select(label, rarest.alias("need")), [label], "_key")
+    kept = keyed.join(cut, label).filter(F.col("_key") <= F.col("cut"))
     return kept.select(df.columns)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyworks import fixed_values
-from tallyworks.functions.nulls import clamp_negative, count_negatives, differs, equals, safe_ratio
+from tallyworks.functions.nulls import all_present, clamp_negative, count_negatives, differs, equals, safe_ratio
 from tallyworks.functions.recode import level_or_null
 from tallyworks.operators.aggregates import conditional_counts, drop_missing_keys, rows
 from tallyworks.operators.ranking import top_k
+from tallyworks.sources.readers import read_parquet
+from tallyworks.sources.writers import overwrite_parquet
 
 
 def prepare_results(raw: DataFrame, age_classes: Sequence[str] = fixed_values.AGE_CLASSES) -> DataFrame:
@@ -34,19 +36,19 @@ def prepare_results(raw: DataFrame, age_classes: Sequence[str] = fixed_values.AG
 def meets(results: DataFrame) -> DataFrame:
     """Distinct meets with the participants and failed attempts of (name, date).
 
-    Both sides are aggregates, so a meet with very many results meets the join
-    as a few rows. A meet without name or date has missing totals: a NULL key
-    finds no partner.
+    The results are aggregated once, to distinct meets; the totals of (name,
+    date) add up those few rows. A meet without name or date has missing totals.
     """
     key = ["MeetName", "Date"]
-    listed = results.select(*fixed_values.MEET_COLUMNS, "Year").distinct()
-    totals = (
-        drop_missing_keys(results, key)
-        .groupBy(*key)
-        .agg(F.sum("FailedAttempts").alias("FailedAttempts"), F.count(F.lit(1)).alias("Participants"))
+    listed = results.groupBy(*fixed_values.MEET_COLUMNS, "Year").agg(
+        F.sum("FailedAttempts").alias("_failed"), F.count(F.lit(1)).alias("_rows")
     )
-    return listed.join(totals, key, "left").select(
-        *fixed_values.MEET_COLUMNS, "FailedAttempts", "Year", "Participants"
+    shared = Window.partitionBy(*key)
+    return listed.select(
+        *fixed_values.MEET_COLUMNS,
+        F.when(all_present(key), F.sum("_failed").over(shared)).alias("FailedAttempts"),
+        "Year",
+        F.when(all_present(key), F.sum("_rows").over(shared)).alias("Participants"),
     )
 
 
@@ -78,3 +80,13 @@ def participants_per_year(results: DataFrame, male: str = "M", except_year: int
         ["Year"],
         {"male": equals("Sex", male), "non_male": differs("Sex", male)},
     ).orderBy("Year")
+
+
+def run(raw: DataFrame, results_path: str, meets_path: str) -> dict[str, int]:
+    """Write the two prepared tables and return the rows of each.
+
+    The meets are made from the results as written, so the raw file is read once.
+    """
+    written = overwrite_parquet(prepare_results(raw), results_path)
+    prepared = read_parquet(raw.sparkSession, results_path, nan_as_null=False)
+    return {"results": written, "meets": overwrite_parquet(meets(prepared), meets_path)}

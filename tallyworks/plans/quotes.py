@@ -10,8 +10,8 @@ from tallyworks import fixed_values, schemas
 from tallyworks.functions.nested import flatten
 from tallyworks.functions.recode import cast_to
 from tallyworks.operators.ranking import latest_per_key
-from tallyworks.sources.readers import read_json_pages
-from tallyworks.sources.writers import append_snapshot, append_table, stamp
+from tallyworks.sources.readers import read_json_pages, read_parquet
+from tallyworks.sources.writers import append_table, pull_is_there, stamp, write_pull
 
 
 def extract(spark: SparkSession, landing: str, pulled_at: datetime) -> DataFrame:
@@ -30,14 +30,23 @@ def table_rows(clean: DataFrame) -> DataFrame:
 
 
 def latest(clean: DataFrame) -> DataFrame:
-    """The newest snapshot of each coin."""
-    return latest_per_key(clean, ["id"], ["timestamp"])
+    """The newest snapshot of each coin; of equal times the one with the larger values."""
+    rest = [c for c in clean.columns if c not in ("id", "timestamp")]
+    return latest_per_key(clean, ["id"], ["timestamp", *rest])
 
 
 def run(spark: SparkSession, landing: str, raw_path: str, clean_path: str, url: str, pulled_at: datetime) -> int:
-    """Append one pull to the raw files, the clean files and the table."""
-    raw = extract(spark, landing, pulled_at)
-    append_snapshot(raw, raw_path)
-    clean = transform(raw)
-    append_snapshot(clean, clean_path)
-    return append_table(table_rows(clean), url, "quotes")
+    """Add one pull to the raw files, the clean files and the table; returns the rows of the table.
+
+    The landed pages are read once; later steps read the raw files of this pull. A repeated
+    run replaces the files of its pull. The table is appended to last, and only where
+    the pull is not in the clean files yet: a run that failed there is finished by hand.
+    """
+    pull = pulled_at.strftime("%Y-%m-%dT%H-%M-%S")
+    raw = extract(spark, landing, pulled_at).withColumn("pull", F.lit(pull))
+    write_pull(raw, raw_path, "pull")
+    raw = read_parquet(spark, raw_path, nan_as_null=False).filter(F.col("pull") == pull)
+    clean = transform(raw).withColumn("pull", F.lit(pull))
+    seen = pull_is_there(spark, clean_path, "pull", pull)
+    rows = write_pull(clean, clean_path, "pull")
+    return rows if seen else append_table(table_rows(clean), url, "quotes")

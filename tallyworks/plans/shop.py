@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallyworks import schemas
 from tallyworks.functions.nested import first_item
+from tallyworks.sources.readers import read_json_pages
 from tallyworks.sources.writers import append_table, stamp
 
 
@@ -68,13 +70,27 @@ def receipt_lines(receipts: DataFrame, lines: DataFrame) -> DataFrame:
     return lines.join(receipts, "receipt_id")
 
 
+def _by_reference(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Items with a reference, and those without: they find no partner, and stay where they are."""
+    missing = F.col("transaction_id").isNull()
+    return items.filter(~missing), items.filter(missing)
+
+
+def with_times(receipts: DataFrame) -> DataFrame:
+    """Receipt rows with timestamps next to the raw epoch seconds."""
+    return receipts.withColumns({f"{c}_time": F.timestamp_seconds(c) for c in ("created_at", "updated_at")})
+
+
 def match_fulfilments(items: DataFrame, lines: DataFrame) -> DataFrame:
     """Fulfilled items with their sale line, where there is one."""
-    return items.join(lines, "transaction_id", "left")
+    known, unknown = _by_reference(items)
+    matched = known.join(lines, "transaction_id", "left")
+    return matched.unionByName(unknown, allowMissingColumns=True)
 
 
 def unmatched_fulfilments(items: DataFrame, lines: DataFrame) -> DataFrame:
-    return items.join(lines, "transaction_id", "left_anti")
+    known, unknown = _by_reference(items)
+    return known.join(lines, "transaction_id", "left_anti").unionByName(unknown)
 
 
 def save(
@@ -86,3 +102,13 @@ def save(
         "transactions": append_table(stamp(sale_line_rows(lines), pulled_at), url, "transactions"),
         "fulfilments": append_table(stamp(fulfilment_rows(fulfilments), pulled_at), url, "fulfilments"),
     }
+
+
+def run(spark: SparkSession, receipts: str, lines: str, fulfilments: str, url: str, pulled_at: datetime) -> dict[str, int]:
+    """Landed pages of the three kinds to their tables; returns the rows written to each."""
+    pages = (
+        read_json_pages(spark, receipts, schemas.RECEIPT_PAGE, "results"),
+        read_json_pages(spark, lines, schemas.SALE_LINE_PAGE, "results"),
+        read_json_pages(spark, fulfilments, schemas.FULFILMENT_PAGE, "orders"),
+    )
+    return save(*pages, url, pulled_at)

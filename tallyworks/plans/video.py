@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, functions as F
 from tallyworks.functions.text import split_list
 from tallyworks.operators.aggregates import mean_by, sum_and_distinct_by, sum_by
 from tallyworks.operators.ranking import top_k, top_k_with_ties
-from tallyworks.operators.sizes import has_few
 
 
 def watch_time_by_video(views: DataFrame) -> DataFrame:
@@ -17,11 +16,7 @@ def watch_time_by_video(views: DataFrame) -> DataFrame:
 def top_videos_by_type(views: DataFrame, videos: DataFrame, k: int = 10) -> DataFrame:
     """Most watched videos of each type; equal totals share a rank."""
     watched = watch_time_by_video(views).join(videos, "video_id")
-    few_types = has_few(videos.select("type"))
-    top = top_k_with_ties(
-        watched.select("type", "title", "total_watch_time"), ["type"], "total_watch_time", k, few_types
-    )
-    return top
+    return top_k_with_ties(watched.select("type", "title", "total_watch_time"), ["type"], "total_watch_time", k)
 
 
 def viewer_totals(views: DataFrame) -> DataFrame:

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from itertools import product
 
-from tallyworks import fixed_values
-
 ORACLES: dict[str, str] = {}
 
 VIEWS = """views as (
@@ -304,6 +302,45 @@ def _cells(x: str, x_width: float, y: str, y_width: float) -> str:
     where Sex is not null and {x} is not null and {y} is not null group by 1, 2, 3"""
 
 
+def _panel(name: str, x: str, x_width: float, y: str, y_width: float) -> str:
+    return f"""select Sex, '{name}' as panel, (floor({x} / {x_width}) * {x_width})::double as x_bin,
+    (floor({y} / {y_width}) * {y_width})::double as y_bin, count(*) as n from results
+    where Sex is not null and {x} is not null and {y} is not null group by 1, 2, 3, 4"""
+
+
+oracle(
+    "density_panels",
+    f"with {RESULTS} "
+    + " union all ".join(
+        [
+            _panel("weight and squat", "BodyweightKg", 500, "Best3SquatKg", 500),
+            _panel("weight and bench", "BodyweightKg", 500, "Best3BenchKg", 5),
+            _panel("weight and deadlift", "BodyweightKg", 500, "Best3DeadliftKg", 5000),
+            _panel("squat and bench", "Best3SquatKg", 500, "Best3BenchKg", 5),
+            _panel("squat and deadlift", "Best3SquatKg", 500, "Best3DeadliftKg", 5000),
+            _panel("bench and deadlift", "Best3BenchKg", 5, "Best3DeadliftKg", 5000),
+        ]
+    ),
+)
+# eight hexadecimal digits of the hash, below 0.05 * 2^32
+oracle(
+    "scatter_sample",
+    """select l_orderkey || '-' || l_linenumber as id, l_quantity, l_extendedprice from lineitem
+    where substr(md5(l_orderkey || '-' || l_linenumber || '|0'), 1, 8) <= '0ccccccc'""",
+)
+oracle("describe_bracketed", ORACLES["describe"])
+oracle(
+    "null_profile_all",
+    f"with {RESULTS} "
+    + " union all ".join(
+        f"select '{c}' as \"column\", round_even(avg((\"{c}\" is null)::int::double), 3) as missing from results"
+        for c in [
+            "Name", "Sex", "Equipment", "AgeClass", "Tested", "Date", "MeetName", "MeetCountry", "Federation",
+            "ParentFederation", "BodyweightKg", "Best3SquatKg", "Best3BenchKg", "Best3DeadliftKg", "TotalKg",
+            "FailedAttempts", "SquatRatio", "BenchRatio", "DeadliftRatio", "Year",
+        ]
+    ),
+)
 oracle("density_2d", _cells("BodyweightKg", 500, "Best3DeadliftKg", 5000))
 oracle("density_2d_lifts", _cells("Best3BenchKg", 5, "Best3DeadliftKg", 5000))
 oracle(
@@ -312,6 +349,7 @@ oracle(
     round(quantile_cont(TotalKg, 0.5), 4) as median, round(quantile_cont(TotalKg, 0.75), 4) as q3
     from results group by 1, 2""",
 )
+oracle("quartiles_bracketed", ORACLES["quartiles_by_group"])
 
 
 def _density(data: str, keys: str, points: int, extend: float, scale: str = "") -> str:
@@ -423,6 +461,17 @@ oracle(
     select round(sum(pow(observed - expected, 2) / expected), 6) as statistic,
     ((count(distinct VPRAI_Score_Grouped) - 1) * (count(distinct FTA) - 1))::bigint as dof from cells""",
 )
+oracle(
+    "chi2_nullable",
+    f"""with {DECISIONS}, kept as (
+      select Gender as r, nullif(Race, 'Other') as c from cases where Gender is not null and nullif(Race, 'Other') is not null
+    ), rs as (select r, count(*) as n from kept group by r), cs as (select c, count(*) as n from kept group by c),
+    cells as (
+      select rs.r, cs.c, (select count(*) from kept k where k.r = rs.r and k.c = cs.c) as observed,
+        rs.n * cs.n / (select count(*) from kept)::double as expected from rs, cs
+    ) select round(sum(pow(observed - expected, 2) / expected), 6) as statistic,
+    ((count(distinct r) - 1) * (count(distinct c) - 1))::bigint as dof from cells""",
+)
 oracle(
     "chi2_expected",
     f"""with {DECISIONS}, {_cells_of('"Group"')}
@@ -476,6 +525,12 @@ oracle(
     round(total_price, 4) as total_price, currency_code, round(shipping_cost, 4) as shipping_cost, created_at, updated_at
     from receipts""",
 )
+oracle(
+    "receipt_times",
+    f"""with {RECEIPTS} select receipt_id, created_at,
+    strftime(make_timestamp(created_at * 1000000), '%Y-%m-%d %H:%M:%S') as created_at_time,
+    strftime(make_timestamp(updated_at * 1000000), '%Y-%m-%d %H:%M:%S') as updated_at_time from receipts""",
+)
 oracle(
     "sale_line_rows",
     f"""with {SALE_LINES} select transaction_id, receipt_id, listing_id as item_id, 'Item ' || listing_id as title,
@@ -534,6 +589,63 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+# The rules of the note cleaning, stated again so that the check does not follow the code.
+_CONTRACTIONS = [
+    ("what's", 'what is '),
+    ("can't", 'cannot '),
+    ("i'm", 'i am '),
+    ("'ll", ' will '),
+    ("'scuse", ' excuse '),
+    ("[:|♣'§♠*/?=%&#•~^><►_]", ' '),
+]
+_ABBREVIATIONS = [
+    (' ct ', ' court '),
+    (' cort ', ' court '),
+    (' crt ', ' court '),
+    ('ov ', 'office visit '),
+    ('ovwd', 'office visit with defendant '),
+    ('hv ', 'home visit '),
+    ('h v ', ' home visit '),
+    (' jl ', ' jail '),
+    (' ltr ', ' letter '),
+    (' vm ', ' voicemail '),
+    (' msg ', ' message '),
+    ('lm ', ' left message '),
+    ('l m ', ' left message '),
+    ('vm ', ' voicemail '),
+    ('v m ', ' voicemail '),
+    (' bw ', ' bench warrant '),
+    (' vop ', ' violation of probation '),
+    (' returbnd ', ' returned '),
+    (' comp ', ' completed '),
+    (' att ', ' attempted '),
+    ('att ', 'attempted '),
+    ('recvd ', ' received '),
+    ('recv ', ' received '),
+    ('t c ', ' call '),
+    ('tc ', ' call '),
+    (' thru ', ' through '),
+    (' rpt ', ' report '),
+    (' rptd ', ' reported '),
+    (' wdef ', ' with defendant '),
+    (' d ', ' defendant '),
+    ('def ', ' defendant '),
+    ('def[^\\n] ', ' defendant '),
+    (' presemt ', ' present '),
+    (' yr ', ' year '),
+]
+_OUTCOME_PHRASES = [
+    "death", "passed away", "deceased", "closed", "file close", "terminated",
+    "convicted", "conviction", "sentenced", "prison sentence", "jail sentence",
+]
+_TIDYING = [
+    ('([a-zA-Z]+)([/!?.])([a-zA-Z]+)', '$1 $2 $3'),
+    (' s ', ' '),
+    ("([*!?']+)", ' $1 '),
+    ('[ ]{2,}', ' '),
+]
+
+
 def _cleaned(column: str) -> str:
     """The cleaning chain nested into one expression.
 
@@ -549,9 +661,9 @@ def _cleaned(column: str) -> str:
 
     for _ in range(2):
         apply(rf"(^|[^\p{{L}}\p{{N}}_])[uU]($|[^\p{{L}}\p{{N}}_])", r"\1you\2")
-    for pattern, replacement in fixed_values.NOTE_CONTRACTIONS[1:] + fixed_values.NOTE_ABBREVIATIONS:
+    for pattern, replacement in _CONTRACTIONS + _ABBREVIATIONS:
         apply(pattern, replacement)
-    for phrase in fixed_values.NOTE_OUTCOME_PHRASES:
+    for phrase in _OUTCOME_PHRASES:
         apply(phrase, "")
     apply(_SPACE, " ")
     chars = f"string_split({sql}, '')"
@@ -559,7 +671,7 @@ def _cleaned(column: str) -> str:
         f"(select coalesce(array_to_string(list_filter(l, lambda x, i: not (i > 2 and x = l[i - 1] and x = l[i - 2])), ''), '')"
         f" from (select {chars} as l))"
     )
-    for pattern, replacement in fixed_values.NOTE_TIDYING[2:]:
+    for pattern, replacement in _TIDYING:
         for i in "123":
             replacement = replacement.replace(f"${i}", f"\\{i}")
         apply(pattern, replacement)
@@ -573,6 +685,25 @@ oracle(
     f"""select doc_id, coalesce(array_to_string(list_filter(regexp_split_to_array(lower(text), '{_SPACE}'),
     lambda w: w <> '' and not list_contains([{_STOP}], w)), ' '), '') as text from documents""",
 )
+# The English stop words that the classifier drops.
+_DEFAULT_STOP_WORDS = """
+i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers
+herself it its itself they them their theirs themselves what which who whom this that these those am is are
+was were be been being have has had having do does did doing a an the and but if or because as until while of
+at by for with about against between into through during before after above below to from up down in out on
+off over under again further then once here there when where why how all any both each few more most other
+some such no nor not only own same so than too very s t can will just don should now i'll you'll he'll she'll
+we'll they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're they're i've we've you've
+they've isn't aren't wasn't weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't
+mustn't can't couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's
+would
+"""
+_STOP_DEFAULT = ", ".join(_quoted(w) for w in _DEFAULT_STOP_WORDS.split())
+oracle(
+    "remove_stopwords_default",
+    f"""select doc_id, coalesce(array_to_string(list_filter(regexp_split_to_array(lower(text), '{_SPACE}'),
+    lambda w: w <> '' and not list_contains([{_STOP_DEFAULT}], w)), ' '), '') as text from documents""",
+)
 _GRAMS = rf"""words as (
   select doc_id, unnest(regexp_extract_all(lower(text), '{_WORD}{{2,}}')) as w,
     generate_subscripts(regexp_extract_all(lower(text), '{_WORD}{{2,}}'), 1) as i from documents
@@ -618,6 +749,33 @@ oracle(
     )
     + " from notes",
 )
+oracle(
+    "one_hot_all",
+    f"with {NOTES} "
+    + " union all ".join(
+        f"select doc_id, '{c}_' || {c} as flag from notes" for c in ["Gender", "Race", "Risk", "ProbationType"]
+    ),
+)
+# ridge with an intercept that is not penalised: a centred two by two system
+oracle(
+    "ridge_two_features",
+    """with rows as (
+      select doc_id, n_chars / 1000.0::double as a, toxic::double as b, case when quality = 1 then 1.0 else -1.0 end::double as y
+      from documents join labels using (doc_id)
+    ), means as (select avg(a) as ma, avg(b) as mb, avg(y) as my from rows),
+    sums as (
+      select sum((a - ma) * (a - ma)) + 1 as aa, sum((b - mb) * (b - mb)) + 1 as bb, sum((a - ma) * (b - mb)) as ab,
+        sum((a - ma) * (y - my)) as ca, sum((b - mb) * (y - my)) as cb from rows, means
+    ), weights as (
+      select (bb * ca - ab * cb) / (aa * bb - ab * ab) as wa, (aa * cb - ab * ca) / (aa * bb - ab * ab) as wb from sums
+    ) select doc_id, round(my + wa * (a - ma) + wb * (b - mb), 3) + 0.0 as score from rows, means, weights""",
+)
+oracle(
+    "score_ridge_counts",
+    f"""with {NOTES}, parted as (
+      select Outcome, row_number() over (order by md5(doc_id || '|0')) <= ceil(0.3 * count(*) over ()) as held from notes
+    ) select Outcome, count(*) as n, count(*) as labelled from parted where held group by 1""",
+)
 _SIDE = "(Outcome = 'Successful')::int::double"
 oracle(
     "corr_with_outcome",

@@ -7,15 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyworks import schemas
 from tallyworks.bindings import Tables
 from tallyworks.functions import nested, nulls, recode, text
 from tallyworks.operators import (
-    aggregates, chi_square, correlation, density, encode, quantiles, ranking, tfidf,
+    aggregates, chi_square, correlation, density, encode, models, quantiles, ranking, tfidf,
 )
-from tallyworks.operators.sizes import spread
 from tallyworks.plans import meets, notes, quotes, shop, study, video
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,6 +302,48 @@ def density_2d_lifts(t):
     return density.density_2d(results(t), ["Sex"], "Best3BenchKg", "Best3DeadliftKg", 5, 5_000)
 
 
+#: The point clouds of the exploration: two measures and their cell widths.
+PANELS = {
+    "weight and squat": ("BodyweightKg", 500, "Best3SquatKg", 500),
+    "weight and bench": ("BodyweightKg", 500, "Best3BenchKg", 5),
+    "weight and deadlift": ("BodyweightKg", 500, "Best3DeadliftKg", 5_000),
+    "squat and bench": ("Best3SquatKg", 500, "Best3BenchKg", 5),
+    "squat and deadlift": ("Best3SquatKg", 500, "Best3DeadliftKg", 5_000),
+    "bench and deadlift": ("Best3BenchKg", 5, "Best3DeadliftKg", 5_000),
+}
+
+
+@query("density_panels")
+def density_panels(t):
+    return density.density_panels(results(t), ["Sex"], PANELS)
+
+
+@query("scatter_sample")
+def scatter_sample(t):
+    """A twentieth of the points, chosen by a hash of their id."""
+    place = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    points = t.lineitem.select(place.alias("id"), "l_quantity", "l_extendedprice")
+    return ranking.split_by_threshold(points, "id", 0.05).filter("part = 'test'").drop("part")
+
+
+@query("describe_bracketed")
+def describe_bracketed(t):
+    """As ``describe``, every column taken through its brackets."""
+    columns = [c for c in RESULT_NUMBERS if c != "Tested"]
+    stats = quantiles.describe(results(t), columns, accuracy=500)
+    return rounded(stats, 4, "mean", "std", "min", "25%", "50%", "75%", "max")
+
+
+@query("quartiles_bracketed")
+def quartiles_bracketed(t):
+    return rounded(quantiles.quartiles_by(results(t), ["Equipment", "Tested"], "TotalKg", 500), 4, "q1", "median", "q3")
+
+
+@query("null_profile_all")
+def null_profile_all(t):
+    return aggregates.null_profile(results(t))
+
+
 @query("quartiles_by_group")
 def quartiles_by_group(t):
     return rounded(quantiles.quartiles_by(results(t), ["Equipment", "Tested"], "TotalKg"), 4, "q1", "median", "q3")
@@ -309,7 +351,7 @@ def quartiles_by_group(t):
 
 @query("violin_density")
 def violin_density(t):
-    shape = density.kernel_density(results(t), ["Equipment", "Tested"], "TotalKg", points=100, extend=2.0)
+    shape = density.kernel_density(results(t), ["Equipment", "Tested"], "TotalKg", points=100, extend=2.0, continuous=True)
     # densities of large numbers are small: scale before rounding
     return rounded(shape.withColumn("density", F.col("density") * 1e6), 6, "x", "density")
 
@@ -411,24 +453,31 @@ def monthly_trend(t):
 
 @query("chi2_test")
 def chi2_test(t):
-    return rounded(chi_square.chi_square(cases(t), "Group", "FTA", study.OUTCOMES), 6, "statistic")
+    return rounded(chi_square.chi_square(cases(t), "Group", "FTA"), 6, "statistic")
 
 
 @query("chi2_wide")
 def chi2_wide(t):
     """Score levels against the outcome: six rows, no correction."""
-    test = chi_square.chi_square(cases(t), "VPRAI_Score_Grouped", "FTA", study.OUTCOMES)
+    test = chi_square.chi_square(cases(t), "VPRAI_Score_Grouped", "FTA")
     return rounded(test, 6, "statistic")
 
 
+@query("chi2_nullable")
+def chi2_nullable(t):
+    """A column with missing values and four levels."""
+    races = cases(t).withColumn("Race", F.nullif("Race", F.lit("Other")))
+    return rounded(chi_square.chi_square(races, "Gender", "Race"), 6, "statistic")
+
+
 @query("chi2_expected")
 def chi2_expected(t):
-    return rounded(chi_square.expected_counts(cases(t), "Group", "FTA", study.OUTCOMES), 4, "expected")
+    return rounded(chi_square.expected_counts(cases(t), "Group", "FTA"), 4, "expected")
 
 
 @query("chi2_pvalue")
 def chi2_pvalue(t):
-    test = chi_square.chi_square(cases(t), "Group", "FTA", study.OUTCOMES)
+    test = chi_square.chi_square(cases(t), "Group", "FTA")
     return rounded(chi_square.with_p_value(test), 6, "statistic", "p_value")
 
 
@@ -482,6 +531,14 @@ def receipt_rows(t):
     return rounded(shop.receipt_rows(t.receipts()), 4, "total_price", "shipping_cost")
 
 
+@query("receipt_times")
+def receipt_times(t):
+    times = shop.with_times(shop.receipt_rows(t.receipts()))
+    return times.select(
+        "receipt_id", "created_at", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("created_at_time", "updated_at_time")]
+    )
+
+
 @query("sale_line_rows")
 def sale_line_rows(t):
     return rounded(shop.sale_line_rows(t.sale_lines()), 2, "price")
@@ -558,12 +615,20 @@ def decade_bucket(t):
 
 @query("clean_text")
 def clean_text(t):
-    return spread(t.documents.select("doc_id", "text")).select("doc_id", text.clean_note("text").alias("text"))
+    return tfidf.by_document(t.documents, "doc_id", "text").select("doc_id", text.clean_note("text").alias("text"))
 
 
 @query("remove_stopwords")
 def remove_stopwords(t):
-    return spread(t.documents.select("doc_id", "text")).select("doc_id", text.remove_stop_words(F.lower("text"), SHORT_STOP_LIST).alias("text"))
+    texts = tfidf.by_document(t.documents, "doc_id", "text")
+    return texts.select("doc_id", text.remove_stop_words(F.lower("text"), SHORT_STOP_LIST).alias("text"))
+
+
+@query("remove_stopwords_default")
+def remove_stopwords_default(t):
+    """With the list that the classifier uses."""
+    texts = tfidf.by_document(t.documents, "doc_id", "text")
+    return texts.select("doc_id", text.remove_stop_words(F.lower("text")).alias("text"))
 
 
 @query("ngrams")
@@ -600,6 +665,35 @@ def one_hot(t):
     return encode.one_hot(filled, levels)
 
 
+@query("one_hot_all")
+def one_hot_all(t):
+    """All four text columns, levels from the data."""
+    filled = notes.fill_defaults(notes.select_closed(t.raw_notes()))
+    return encode.flags(filled, "doc_id", notes.CATEGORIES)
+
+
+@query("ridge_two_features")
+def ridge_two_features(t):
+    """The classifier's ridge on two numbers, every score."""
+    rows = t.documents.join(t.labels, "doc_id").select(
+        "doc_id", (F.col("n_chars") / 1000).alias("length"), F.col("toxic").cast("double").alias("toxic"),
+        F.when(F.col("quality") == 1, 1.0).otherwise(-1.0).alias("_side"),
+    )
+    features = VectorAssembler(inputCols=["length", "toxic"], outputCol="features").transform(rows)
+    size = rows.agg(F.count("_side").alias("rows"), F.stddev_samp("_side").alias("deviation")).first()
+    model = models.drop_summary(models.ridge(size.rows, size.deviation).fit(features))
+    return rounded(model.transform(features).select("doc_id", F.col("_score").alias("score")), 3, "score")
+
+
+@query("score_ridge_counts")
+def score_ridge_counts(t):
+    """Held-out rows per outcome, and how many of them got one of the two labels."""
+    return _scored(t, "ridge").groupBy("Outcome").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("Predictions").isin("Successful", "Unsuccessful")).alias("labelled"),
+    )
+
+
 @query("corr_with_outcome")
 def corr_with_outcome(t):
     prepared = notes.age_groups(notes.fill_defaults(notes.select_closed(t.raw_notes())))

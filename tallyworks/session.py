@@ -37,13 +37,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there.
 
     The folder is the one named in ``spark.checkpoint.dir``; files there outlive
-    a lost executor. Where it is not set the frame stays as it is, to be
-    computed again from its sources whenever it is needed.
+    a lost executor. Where it is not set, a session in one process gets a folder of its own,
+    any other an error.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            return df
+            if not context.master.startswith("local") or "cluster" in context.master:
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Give a caller's own session the settings the library counts on."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -24,20 +25,35 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line; a byte order mark and CRLF line ends are accepted.
 
-    Columns are taken in the order of the file. ``rename`` gives names to
-    headers with blanks or other odd characters; without a schema the types are
+    Columns are taken by the names in the header, in any order; case does not count, and blanks or
+    other odd characters stand for ``_``. Other columns of the file are left out, a missing
+    one is an error. All files under ``path`` have the same header, which is checked when they
+    are read. ``rename`` gives other names to headers; without a schema the types are
     inferred, at the price of one more pass over the files.
     """
     reader = spark.read.option("header", True).option("mode", mode).option("encoding", encoding)
     if schema is None:
         df = reader.option("inferSchema", True).csv(path)
     else:
-        df = reader.schema(schema).option("enforceSchema", True).csv(path)
+        # the header alone is read here: types come from the schema
+        header = reader.csv(path).columns
+        plain = {_plain_name((rename or {}).get(n, n)): n for n in header}
+        missing = [n for n in schema.fieldNames() if _plain_name(n) not in plain]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in {path}")
+        kinds = {plain[_plain_name(f.name)]: f.dataType for f in schema}
+        laid = T.StructType([T.StructField(n, kinds.get(n, T.StringType())) for n in header])
+        df = reader.schema(laid).option("enforceSchema", False).csv(path)
+        return nan_to_null(df.select([F.col(f"`{plain[_plain_name(n)]}`").alias(n) for n in schema.fieldNames()]))
     if rename:
         df = df.withColumnsRenamed(dict(rename))
     return nan_to_null(df)
 
 
+def _plain_name(name: str) -> str:
+    return re.sub(r"\W+", "_", name.strip()).lower()
+
+
 @contextmanager
 def windows_charsets(spark: SparkSession) -> Iterator[None]:
     """Let the session read Windows code pages; jobs must run inside the block."""
@@ -93,7 +109,7 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, rows_p
 
 def read_parquet(spark: SparkSession, *paths: str, nan_as_null: bool = True) -> DataFrame:
     """Parquet. ``nan_as_null=False`` keeps number filters in the file scan, for
-    data known to hold no NaN."""
+    data known to hold no NaN, such as files this library has written."""
     df = spark.read.parquet(*paths)
     return nan_to_null(df) if nan_as_null else df
 
@@ -118,4 +134,4 @@ def read_table(spark: SparkSession, url: str, name: str, **options: str) -> Data
     For a large table pass ``partitionColumn``, ``lowerBound``, ``upperBound``
     and ``numPartitions``, otherwise one connection reads all of it.
     """
-    return spark.read.format("jdbc").options(url=url, dbtable=name, **options).load()
+    return nan_to_null(spark.read.format("jdbc").options(url=url, dbtable=name, **options).load())

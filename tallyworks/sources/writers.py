@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def _counted(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
@@ -29,6 +30,24 @@ def append_snapshot(df: DataFrame, path: str, time_column: str = "timestamp") ->
     return _counted(dated, lambda out: out.write.mode("append").partitionBy("ingest_date").parquet(path))
 
 
+def write_pull(df: DataFrame, path: str, column: str) -> int:
+    """Write Parquet in one folder per value of ``column``; folders that ``df`` has rows for are replaced."""
+    def write(out: DataFrame) -> None:
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+    return _counted(df, write)
+
+
+def pull_is_there(spark: SparkSession, path: str, column: str, pull: str) -> bool:
+    """Whether the files under ``path`` hold rows of a pull; no files, no rows."""
+    try:
+        return spark.read.parquet(path).filter(F.col(column) == pull).limit(1).count() > 0
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return False
+
+
 def jdbc_append(rows: DataFrame, settings: dict[str, str]) -> None:
     rows.write.format("jdbc").options(**settings).mode("append").save()
 

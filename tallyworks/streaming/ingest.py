@@ -12,19 +12,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyworks.functions.nested import flatten
+from tallyworks.functions.nulls import nan_to_null
 from tallyworks.functions.recode import month_of
 
 
 def landed_records(spark: SparkSession, landing: str, page: T.StructType, items: str) -> DataFrame:
     """Streaming twin of reading landed JSON pages: one flat row per record,
-    with ``timestamp`` the time its file landed."""
+    with ``timestamp`` the time its file landed. A page that does not parse stops the query: its
+    file counts as unread, and the next run meets it again."""
     pages = (
         spark.readStream.schema(page)
         .option("multiLine", True)
+        .option("mode", "FAILFAST")
         .json(landing)
         .withColumn("timestamp", F.col("_metadata.file_modification_time"))
     )
-    return flatten(pages.select("timestamp", F.explode(items).alias("record")).select("record.*", "timestamp"))
+    records = pages.select("timestamp", F.explode(items).alias("record")).select("record.*", "timestamp")
+    return nan_to_null(flatten(records))
 
 
 def drop_repeats(records: DataFrame, keys: Sequence[str], time_column: str, horizon: str) -> DataFrame:

@@ -110,6 +110,20 @@ def test_saved_model_scores_the_same_and_accepts_new_levels(spark, prepared, tmp
     assert before.count() == prepared.count() and before.exceptAll(after).count() == 0
 
 
+def test_run_writes_scores_and_a_model(spark, tables, tmp_path):
+    paths = [str(tmp_path / p) for p in ("scored", "model")]
+    rows = notes.run(tables.raw_notes(), "doc_id", *paths, kind="logistic", limits=LIMITS, maxIter=5)
+    scored = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths[0])
+    assert "Predictions" in scored.columns and rows > 0
+    assert PipelineModel.load(paths[1]).stages
+
+
+def test_flags_name_every_level(frame):
+    df = frame([(1, "a", None), (2, "b", "x")], "id int, k string, m string")
+    found = sorted(tuple(r) for r in encode.flags(df, "id", ["k", "m"]).collect())
+    assert found == [(1, "k_a"), (2, "k_b"), (2, "m_x")]
+
+
 def test_accuracy(frame):
     df = frame([("a", "a"), ("a", "b"), ("b", "b"), ("b", None)], "label string, p string")
     assert aggregates.accuracy(df, "label", "p").first().accuracy == 0.5

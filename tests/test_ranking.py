@@ -34,9 +34,7 @@ def test_copies_of_an_id_stay_together(spark):
     assert parted.groupBy("id").agg(F.count_distinct("part").alias("n")).filter("n > 1").count() == 0
 
 
-@pytest.mark.parametrize("few", [True, False])
-def test_balance(spark, monkeypatch, few):
-    monkeypatch.setattr(ranking, "has_few", lambda keys: few)
+def test_balance(spark):
     df = spark.range(2000).select("id", F.when(F.col("id") % 10 == 0, "b").otherwise("a").alias("label"))
     kept = ranking.balance(df.union(spark.sql("select 5000L, cast(null as string)")), "label", "id")
     rows = kept.collect()
@@ -61,7 +59,7 @@ def test_latest_per_key_with_a_hot_key(spark):
 def test_top_k_with_ties_carries_no_ties_through_the_window(spark):
     """A third of all rows share the largest value; all of them are results."""
     df = spark.range(9000).select((F.col("id") % 1).alias("g"), "id", F.when(F.col("id") % 3 == 0, 10**6).otherwise(F.col("id")).alias("v"))
-    top = ranking.top_k_with_ties(df, ["g"], "v", 10, few_groups=True)
+    top = ranking.top_k_with_ties(df, ["g"], "v", 10)
     assert top.count() == 3000
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "rank(" not in plan

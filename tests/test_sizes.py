@@ -1,8 +1,5 @@
-"""Checks before a broadcast, and spreading."""
+"""Plans and layout."""
 
-from pyspark.sql import functions as F
-
-from tallyworks.operators import sizes
 from tallyworks.operators.aggregates import cross_counts, sizes_by
 from tallyworks.session import cut_lineage
 
@@ -11,29 +8,6 @@ def plan_of(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_few_keys(spark):
-    keys = spark.range(100).select((F.col("id") % 7).alias("k"))
-    assert sizes.has_few(keys, 7) and not sizes.has_few(keys, 6)
-
-
-def test_small_summaries_become_literal_tables(spark):
-    summary = spark.range(20).groupBy((F.col("id") % 4).alias("k")).agg(F.max("id").alias("m"))
-    settled = sizes.settle(summary)
-    assert "Aggregate" not in plan_of(settled)
-    assert settled.schema == summary.schema
-    assert settled.exceptAll(summary).count() == 0
-    assert sizes.settle(summary, most=3) is summary
-
-
-def test_only_inputs_with_few_splits_are_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide = spark.range(0, 100, 1, cores)
-    assert sizes.spread(wide) is wide
-    narrow = spark.range(0, 100, 1, 1)
-    assert sizes.spread(narrow).rdd.getNumPartitions() == cores
-    assert sizes.spread(narrow).exceptAll(narrow).count() == 0
-
-
 def test_lineage_is_cut_in_the_shared_folder(spark):
     cut = cut_lineage(spark.range(10).filter("id > 3"))
     assert "Filter" not in plan_of(cut) and cut.count() == 6

@@ -59,6 +59,25 @@ def test_broken_numbers_stop_a_strict_read(spark, tmp_path):
     assert tuple(lenient.first()) == (1, None)
 
 
+def test_columns_are_taken_by_name(spark, tmp_path):
+    path = tmp_path / "v.csv"
+    path.write_text("Country ID,extra,viewer_id\n44,x,7\n")
+    assert tuple(readers.read_csv(spark, str(path), schemas.VIEWERS).first()) == (7, 44)
+    renamed = readers.read_csv(spark, str(path), schemas.VIEWERS, rename={"extra": "viewer_id", "viewer_id": "other"}, mode="PERMISSIVE")
+    assert tuple(renamed.first()) == (None, 44)
+    path.write_text("viewer_id,extra\n7,x\n")
+    with pytest.raises(ValueError, match="no column country_id"):
+        readers.read_csv(spark, str(path), schemas.VIEWERS)
+
+
+def test_parquet_filters_reach_the_scan(spark, tables):
+    from __spark_entry__ import queries
+    from tests.conftest import SMALL
+
+    plan = queries()["scan_parquet"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(l_quantity), GreaterThanOrEqual(l_quantity,25" in plan
+
+
 def test_windows_1252(spark, tmp_path):
     path = tmp_path / "notes.csv"
     path.write_bytes(b"note\nna\xefve \x80\n")
@@ -156,6 +175,39 @@ def test_incremental_load_equals_its_batch_twin(spark, tmp_path):
     assert latest_per_key(loaded.select("id", "timestamp"), ["id"], ["timestamp"]).count() == 3
 
 
+def test_a_broken_page_stops_the_stream(spark, tmp_path):
+    landing, out, state = tmp_path / "landing", str(tmp_path / "out"), str(tmp_path / "state")
+    land(landing, "1.json", [coin(1, 1.5)])
+    (landing / "2.json").write_text('{"data": [{"id": 2, "name"')
+    records = ingest.landed_records(spark, str(landing), schemas.COIN_PAGE, "data")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|STREAM_FAILED"):
+        ingest.append_files(records, out, state).awaitTermination()
+    land(landing, "2.json", [coin(2, 2.5)])  # landed again in full: nothing was marked as done
+    records = ingest.landed_records(spark, str(landing), schemas.COIN_PAGE, "data")
+    ingest.append_files(records, out, state).awaitTermination()
+    assert {r.id for r in spark.read.parquet(out).collect()} == {1, 2}
+
+
+def test_a_repeated_pull_is_there_once(spark, tmp_path, store):
+    landing = tmp_path / "landing"
+    land(landing, "1.json", [coin(1, 1.5), coin(2, 2.5)])
+    paths = [str(tmp_path / p) for p in ("raw", "clean")]
+    assert [quotes.run(spark, str(landing), *paths, store.url, NOW) for _ in range(2)] == [2, 2]
+    assert [spark.read.parquet(p).count() for p in paths] == [2, 2]
+    assert store.table("quotes").count() == 2
+
+
+def test_two_tables_of_meets_are_written(spark, tmp_path, tables):
+    from tallyworks.plans import meets
+
+    raw = tables.raw_results()
+    paths = [str(tmp_path / p) for p in ("results", "meets")]
+    written = meets.run(raw, *paths)
+    prepared = meets.prepare_results(raw)
+    assert written == {"results": prepared.count(), "meets": meets.meets(prepared).count()}
+    assert spark.read.parquet(paths[1]).exceptAll(meets.meets(prepared)).count() == 0
+
+
 def test_batches_reach_a_table_and_months_are_counted(spark, tmp_path, tables, store):
     source = str(tmp_path / "events")
     tables.events.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(source)
@@ -207,3 +259,8 @@ def test_shop_pages_end_to_end(spark, tmp_path, store):
     rich = {r.id: (r.subtotal, r.shipping, r.tax) for r in shop.enrich_orders(orders, details).collect()}
     assert rich == {"g1": (5.0, 0.0, 2.0), "g2": (0.0, 0.0, 0.0)}
     assert shop.save(receipts, lines, orders, store.url, NOW) == {"receipts": 2, "transactions": 2, "fulfilments": 2}
+    again = shop.run(spark, *(str(tmp_path / p) for p in "rlf"), store.url, NOW)
+    assert again == {"receipts": 2, "transactions": 2, "fulfilments": 2} and store.table("receipts").count() == 4
+    unknown = items.unionByName(items.limit(1).withColumn("transaction_id", F.lit(None).cast("long")))
+    assert sorted(str(r.transaction_id) for r in shop.unmatched_fulfilments(unknown, lines).collect()) == ["99", "None"]
+    assert shop.match_fulfilments(unknown, lines.select("transaction_id", "receipt_id")).count() == 3

@@ -8,7 +8,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
-from tallyworks.operators import chi_square, correlation, density, quantiles, sizes
+from tallyworks.operators import chi_square, correlation, density, quantiles
+from tallyworks.operators.aggregates import cross_counts
 
 
 def table_rows(counts):
@@ -20,31 +21,31 @@ TWO_BY_TWO = {("a", "No"): 10, ("a", "Yes"): 20, ("b", "No"): 30, ("b", "Yes"):
 
 def test_chi_square_two_by_two(frame):
     df = frame(table_rows(TWO_BY_TWO) + [("a", None), (None, "Yes")], "g string, o string")
-    plain = chi_square.chi_square(df, "g", "o", ["No", "Yes"], correction=False)
+    plain = chi_square.chi_square(df, "g", "o", correction=False)
     row = chi_square.with_p_value(plain).first()
     assert row.dof == 1
     assert row.statistic == pytest.approx(8.035714, abs=1e-6)
     assert row.p_value == pytest.approx(0.004586, abs=1e-6)
     expected = np.outer([30, 45], [40, 35]) / 75
     corrected = ((np.abs(np.array([[10, 20], [30, 15]]) - expected) - 0.5) ** 2 / expected).sum()
-    assert chi_square.chi_square(df, "g", "o", ["No", "Yes"]).first().statistic == pytest.approx(corrected)
+    assert chi_square.chi_square(df, "g", "o").first().statistic == pytest.approx(corrected)
 
 
 def test_correction_never_overshoots(frame):
     df = frame(table_rows({("a", "No"): 3, ("a", "Yes"): 3, ("b", "No"): 3, ("b", "Yes"): 3}), "g string, o string")
-    assert chi_square.chi_square(df, "g", "o", ["No", "Yes"]).first().statistic == 0.0
+    assert chi_square.chi_square(df, "g", "o").first().statistic == 0.0
 
 
 def test_chi_square_with_an_empty_cell_agrees_with_spark(frame):
     counts = {("a", "x"): 5, ("a", "y"): 7, ("b", "y"): 4, ("c", "x"): 6, ("c", "y"): 2}
     df = frame(table_rows(counts), "g string, o string")
-    ours = chi_square.with_p_value(chi_square.chi_square(df, "g", "o", ["x", "y"])).first()
+    ours = chi_square.with_p_value(chi_square.chi_square(df, "g", "o")).first()
     coded = df.select((F.ascii("g") - 97).cast("double").alias("f"), (F.col("o") == "y").cast("double").alias("label"))
     theirs = ChiSquareTest.test(VectorAssembler(inputCols=["f"], outputCol="v").transform(coded), "v", "label").first()
     assert ours.dof == theirs.degreesOfFreedom[0] == 2
     assert ours.statistic == pytest.approx(theirs.statistics[0])
     assert ours.p_value == pytest.approx(theirs.pValues[0])
-    cells = chi_square.expected_counts(df, "g", "o", ["x", "y"])
+    cells = chi_square.expected_counts(df, "g", "o")
     sums = cells.agg(F.sum("observed"), F.sum("expected")).first()
     assert cells.count() == 6 and sums[0] == 24 and sums[1] == pytest.approx(24)
 
@@ -71,13 +72,56 @@ def test_quantiles_are_exact(spark, accuracy):
     assert found.count() == len(groups)
 
 
-def test_many_groups_are_joined_instead_of_broadcast(spark, monkeypatch):
+def test_many_groups(spark):
     df = spark.range(600).select((F.col("id") % 30).alias("g"), F.col("id").cast("double").alias("v"))
-    monkeypatch.setattr(quantiles, "settle", lambda summary: sizes.settle(summary, 5))
     found = quantiles.quartiles_by(df, ["g"], "v").filter("g = 3").first()
     assert found.median == pytest.approx(np.median(np.arange(3, 600, 30)))
 
 
+def test_columns_and_groups_without_values_have_a_row(frame):
+    df = frame([("a", 1.0, None), ("a", 3.0, None), ("b", None, None)], "g string, v double, empty double")
+    rows = {r.column: r for r in quantiles.describe(df, ["v", "empty"]).collect()}
+    assert rows["empty"]["count"] == 0.0 and rows["empty"]["mean"] is None and rows["empty"]["50%"] is None
+    assert (rows["v"]["count"], rows["v"]["50%"]) == (2.0, 2.0)
+    groups = {r.g: (r.q1, r.median, r.q3) for r in quantiles.quartiles_by(df, ["g"], "v").collect()}
+    assert groups == {"a": (1.5, 2.0, 2.5), "b": (None, None, None)}
+    assert [r["count"] for r in quantiles.describe(df.limit(0), ["v"]).collect()] == [0.0]
+    features = {r.column: r.r for r in correlation.correlation_with(df, ["v", "empty"], F.lit(1.0)).collect()}
+    assert features == {"v": None, "empty": None}
+
+
+def test_every_observed_outcome_counts(frame):
+    rows = table_rows(TWO_BY_TWO | {("a", "Maybe"): 4, ("b", "yes"): 1})
+    df = frame(rows, "g string, o string")
+    cells = {(r.g, r.o): r.observed for r in chi_square.expected_counts(df, "g", "o").collect()}
+    assert cells[("b", "Maybe")] == 0 and sum(cells.values()) == len(rows) and len(cells) == 8
+    with pytest.raises(Exception, match="values other than"):
+        cross_counts(df, "g", "o", ["No", "Yes"]).collect()
+
+
+def test_levels_correlate_like_their_flags(frame):
+    rng = np.random.default_rng(4)
+    rows = [(["x", "y", "z", None][i], float(o) if o < 2 else None) for i, o in zip(rng.integers(0, 4, 400), rng.integers(0, 3, 400))]
+    df = frame(rows, "c string, o double")
+    found = {r.column: r.r for r in correlation.correlation_of_levels(df, ["c"], F.col("o")).collect()}
+    known = [(c, o) for c, o in rows if o is not None]
+    for level in "xyz":
+        flags = [float(c == level) for c, _ in known]
+        assert found[f"c_{level}"] == pytest.approx(np.corrcoef(flags, [o for _, o in known])[0, 1], abs=1e-12)
+
+
+def test_both_densities_agree(spark):
+    df = spark.range(3000).select((F.col("id") % 3).cast("string").alias("g"), F.sqrt((F.col("id") * 7919 % 1009).cast("double")).alias("v"))
+    one, two = (
+        density.kernel_density(df.repartition(4), ["g"], "v", points=40, continuous=c).orderBy("g", "point").collect()
+        for c in (False, True)
+    )
+    assert len(one) == len(two) == 120
+    for a, b in zip(one, two):
+        assert (a.g, a.point) == (b.g, b.point)
+        assert a.x == pytest.approx(b.x, abs=1e-9) and a.density == pytest.approx(b.density, abs=1e-12)
+
+
 def test_approximate_describe(spark):
     df = spark.range(10_001).select(F.col("id").cast("double").alias("v"))
     row = quantiles.describe(df, ["v"], approx=True).first()
