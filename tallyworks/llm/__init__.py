@@ -1,11 +1,4 @@
 """Operators of a training-data pipeline: formatting, filtering, deduplication, search and mixing.
 
-Nothing else in the library imports this package. Functions that run on workers
-are pickled by value, so executors need no copy of the package.
+Nothing else in the library imports this package.
 """
-
-import sys
-
-from pyspark import cloudpickle
-
-cloudpickle.register_pickle_by_value(sys.modules[__name__])

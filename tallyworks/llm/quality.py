@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from tallyworks.llm.store import save, small_batches
 
@@ -128,20 +128,18 @@ class View:
         return a * self.score(rows) + b
 
 
-def text_view(items: list[set], y: np.ndarray) -> View:
-    """The features that tell good from bad best, by chi-squared, among those of three documents at least."""
-    counts: dict[bytes, list[int]] = {}
-    for names, good in zip(items, y):
-        for name in names:
-            counts.setdefault(name, [0, 0])[int(good)] += 1
-    share = y.mean()
+def vocabulary(rows: DataFrame) -> list[bytes]:
+    """The features that tell good from bad best, by chi-squared, among those of three documents at least.
 
-    def strength(pair):
-        n = sum(pair)
-        return (pair[1] - n * share) ** 2 / (n * share * (1 - share) + 1e-9)
-
-    ranked = sorted(((-strength(c), name) for name, c in counts.items() if sum(c) >= 3))[:VOCABULARY]
-    return View({name: i for i, (_, name) in enumerate(sorted(ranked, key=lambda r: r[1]))})
+    ``rows`` has ``words`` and ``good``. Counting is done by Spark; ``VOCABULARY`` names come back.
+    """
+    share = rows.agg(F.avg(F.col("good").cast("double"))).scalar()
+    counts = rows.select(F.explode("words").alias("word"), F.col("good").cast("double").alias("good"))
+    counts = counts.groupBy("word").agg(F.count("*").alias("n"), F.sum("good").alias("good")).where("n >= 3")
+    gap = F.col("good") - F.col("n") * share
+    strength = F.try_divide(gap * gap, F.col("n") * share * (1 - share))
+    best = counts.orderBy(F.desc_nulls_last(F.round(strength, 6)), "word").limit(VOCABULARY)
+    return sorted(bytes(r.word) for r in best.select("word").collect())
 
 
 def page_view(items: list[tuple]) -> View:
@@ -153,33 +151,31 @@ def page_view(items: list[tuple]) -> View:
     return View({name: i for i, name in enumerate(names)}, bins)
 
 
-def co_train(labelled: list[tuple], pool: list[tuple]) -> tuple[View, View, np.ndarray] | None:
-    """Fit both views on ``(content, metadata, good)`` rows and a ``(content, metadata)`` pool.
+def co_train(words: View, rows: list[tuple]) -> tuple[View, View, np.ndarray] | None:
+    """Fit both views on rows ``(word features, metadata, good, check)``; ``good`` is None in the unlabelled pool.
 
     In every round each view labels the documents of the pool of which it is sure, in the
-    proportion of the classes, and the other view learns from them. A quarter of the
-    labelled rows only calibrates: first each view, then the weights by which their log-odds are
+    proportion of the classes, and the other view learns from them. Labelled rows marked
+    ``check`` only calibrate: first each view, then the weights by which their log-odds are
     combined. None without rows of both classes.
     """
-    y = np.array([good for *_, good in labelled], dtype=float)
+    labelled, pool = [r for r in rows if r[2] is not None], [r for r in rows if r[2] is None]
+    y = np.array([r[2] for r in labelled], dtype=float)
     if len(y) < 8 or not 0 < y.sum() < len(y):
         return None
-    learn = np.arange(len(y)) % 4 != 3
+    learn = np.array([not r[3] for r in labelled], dtype=bool)
     if not 0 < y[learn].sum() < learn.sum() or not 0 < y[~learn].sum() < (~learn).sum():
         learn = np.ones(len(y), dtype=bool)
     check = ~learn if not learn.all() else learn
-    views = [
-        text_view([r[0] for r, use in zip(labelled, learn) if use], y[learn]),
-        page_view([r[1] for r, use in zip(labelled, learn) if use]),
-    ]
-    known = [[v.features(r[i]) for r in labelled] for i, v in enumerate(views)]
-    unknown = [[v.features(r[i]) for r in pool] for i, v in enumerate(views)]
+    page = page_view([r[1] for r, use in zip(labelled, learn) if use])
+    views = [words, page]
+    known, unknown = ([[r[0] for r in part], [page.features(r[1]) for r in part]] for part in (labelled, pool))
     pick = lambda rows, which: [rows[i] for i in np.flatnonzero(which)]
     given = [(np.zeros(0, dtype=int), np.zeros(0)) for _ in views]  # pseudo-labels that a view has been handed
     for turn in range(ROUNDS + 1):
         for i, view in enumerate(views):
-            rows, labels = given[i]
-            view.fit(pick(known[i], learn) + [unknown[i][j] for j in rows], np.r_[y[learn], labels])
+            handed, labels = given[i]
+            view.fit(pick(known[i], learn) + [unknown[i][j] for j in handed], np.r_[y[learn], labels])
             view.calibration = platt(view.score(pick(known[i], check)), y[check])
         if turn == ROUNDS or not pool:
             break
@@ -192,7 +188,7 @@ def co_train(labelled: list[tuple], pool: list[tuple]) -> tuple[View, View, np.n
             bad = bad[np.argsort(p[bad], kind="stable")][: int(many * (1 - y.mean()))]
             given[1 - i] = (np.r_[good, bad], np.r_[np.ones(len(good)), np.zeros(len(bad))])
     odds = np.stack([v.log_odds(pick(known[i], check)) for i, v in enumerate(views)], axis=1)
-    return views[0], views[1], stacked(odds, y[check])
+    return words, page, stacked(odds, y[check])
 
 
 def stacked(odds: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -222,7 +218,7 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     ``labels`` has ``key``, ``quality`` and ``toxic``: good is quality 1 and not toxic; a null label is no label, and
     of contradicting labels of a key the worse counts. The two classifiers are fitted on
     at most about ``LABELLED_ROWS`` labelled and ``POOL_ROWS`` unlabelled documents, picked by a hash of their
-    key, on the driver; every document is scored, with its whole text. Null and empty texts are scored by
+    key. Spark makes their features and picks the vocabulary; the driver gets feature numbers. Every document is scored, with its whole text. Null and empty texts are scored by
     their metadata. Without labels of both classes everything stays, with score 1.
     """
     scored = _scored(docs, labels, key, [key])
@@ -254,9 +250,8 @@ def _scored(docs: DataFrame, labels: DataFrame, key: str, carry: list[str]) -> D
 
     def featured(batches):
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("_raw", "_source", "_lang")]
             words, names, measures = [], [], []
-            for raw, source, lang in zip(*columns):
+            for raw, source, lang in zip(*(batch.column(c).to_pylist() for c in ("_raw", "_source", "_lang"))):
                 words.append(sorted(content(raw)))
                 name, measure = metadata(raw, source, lang)
                 names.append(name)
@@ -269,13 +264,27 @@ def _scored(docs: DataFrame, labels: DataFrame, key: str, carry: list[str]) -> D
 
     schema = sample.select(key).schema.add("words", ArrayType(BinaryType())).add("names", ArrayType(StringType()))
     made = sample.mapInArrow(featured, schema.add("measures", ArrayType(DoubleType())))
-    made = made.join(F.broadcast(told), F.col(key) == F.col("_id"))
-    fitted = made.select(key, "words", "names", "measures", "good").collect()
-    fitted.sort(key=lambda r: (str(r[0]), r["measures"]))
-    item = lambda r: ({bytes(w) for w in r["words"]}, (r["names"], r["measures"]))
-    model = co_train(
-        [(*item(r), r["good"]) for r in fitted if r["good"] is not None], [item(r) for r in fitted if r["good"] is None]
+    check = F.pmod(F.xxhash64(key, F.lit(2)), F.lit(4)) == 3
+    made = save(
+        made.join(F.broadcast(told), F.col(key) == F.col("_id")).withColumn("check", check).drop("_id"), "features"
     )
+    names = vocabulary(made.where("good is not null and not check"))
+    words = View({name: i for i, name in enumerate(names)})
+
+    def numbered(batches):
+        for batch in batches:
+            found = [words.features(map(bytes, row)) for row in batch.column("words").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([sorted(f) for f in found], pa.list_(pa.int64())),
+                 *(batch.column(c) for c in ("names", "measures", "good", "check"))],
+                names=["words", "names", "measures", "good", "check"],
+            )
+
+    columns = ["words", "names", "measures", "good", "check"]
+    kinds = StructType([StructField("words", ArrayType(LongType()))] + [made.schema[c] for c in columns[1:]])
+    fitted = made.select(*columns).mapInArrow(numbered, kinds).collect()
+    fitted.sort(key=lambda r: (r["measures"], r["words"], r["names"], str(r["good"]), r["check"]))
+    model = co_train(words, [(r["words"], (r["names"], r["measures"]), r["good"], r["check"]) for r in fitted])
     if model is None:
         return docs.select(*carry, F.lit(1.0).alias("_score"))
     words, page, weights = model
