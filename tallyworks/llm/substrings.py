@@ -150,8 +150,8 @@ def remove_repeats(
 ) -> DataFrame:
     """Cut every word covered by ``width`` words in a row that also start in a document with a smaller key.
 
-    Returns ``(key, n_words, n_removed, kept_text)`` for every row, the kept words joined by
-    one space. Words are separated by ASCII blanks; null and empty texts have none. Judged
+    Returns ``(key, n_words, n_removed, kept_text, repeats)`` for every row, the kept words joined by
+    one space; ``repeats`` are the maximal stretches of words removed, from ``start`` up to ``end``. Words are separated by ASCII blanks; null and empty texts have none. Judged
     on the input, not on what is left. Rows with the same key do not remove from
     each other, rows with a null key neither remove nor lose anything.
 
@@ -266,7 +266,7 @@ def remove_repeats(
             covered = np.cumsum(change[:-1]) > 0
             begin = 0
             for at in range(0, len(block.rows), 500):
-                ids, counts, cuts, kept = [], [], [], []
+                ids, counts, cuts, kept, spans = [], [], [], [], []
                 for (i, _), words in zip(block.rows[at : at + 500], block.words[at : at + 500]):
                     mask = covered[begin : begin + len(words)]
                     begin += len(words)
@@ -275,9 +275,12 @@ def remove_repeats(
                     counts.append(len(words))
                     cuts.append(n)
                     kept.append(b" ".join([w for w, m in zip(words, mask.tolist()) if not m] if n else words).decode())
+                    edges = np.flatnonzero(np.diff(np.r_[0, mask, 0])).tolist() if n else []
+                    spans.append([{"start": s, "end": e} for s, e in zip(edges[::2], edges[1::2])])
+                kinds = (*[pa.int64()] * 3, pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, t) for v, t in zip((ids, counts, cuts, kept), (*[pa.int64()] * 3, pa.string()))],
-                    names=[key, "n_words", "n_removed", "kept_text"],
+                    [pa.array(v, t) for v, t in zip((ids, counts, cuts, kept, spans), kinds)],
+                    names=[key, "n_words", "n_removed", "kept_text", "repeats"],
                 )
 
         for batch in batches:
@@ -297,7 +300,7 @@ def remove_repeats(
 
     both = picked.mapInArrow(texts, answers.schema).unionByName(answers)
     joined = both.repartition("block").sortWithinPartitions("block", "group")
-    return joined.mapInArrow(cutting, f"`{key}` long, n_words long, n_removed long, kept_text string")
+    return joined.mapInArrow(cutting, f"`{key}` long, n_words long, n_removed long, kept_text string, repeats array<struct<start:int,end:int>>")
 
 
 def answered(bits: list[tuple[int, bytes]], group: np.ndarray) -> np.ndarray:

@@ -19,7 +19,9 @@ def by_hand(docs, width):
             if firsts[tuple(words[at : at + width])] < i:
                 gone |= set(range(at, at + width))
         kept = b" ".join(w for n, w in enumerate(words) if n not in gone).decode()
-        out.append((i, len(words), len(gone), kept))
+        starts = [n for n in sorted(gone) if n - 1 not in gone]
+        ends = [n + 1 for n in sorted(gone) if n + 1 not in gone]
+        out.append((i, len(words), len(gone), kept, list(zip(starts, ends))))
     return sorted(out, key=str)
 
 
@@ -32,7 +34,7 @@ def test_equals_brute_force(spark, group_rows, block_bytes):
     docs += [(3, None), (4, ""), (None, shared[0]), docs[0], docs[0], (100, shared[1] * 40)]
     df = spark.createDataFrame([(*d, 1, "x") for d in docs], "doc_id long, text string, id int, block string").repartition(5)
     got = substrings.remove_repeats(df, 6, group_rows=group_rows, block_bytes=block_bytes).collect()
-    assert sorted((tuple(r) for r in got), key=str) == by_hand(docs, 6)
+    assert sorted(((*r[:4], [tuple(s) for s in r.repeats]) for r in got), key=str) == by_hand(docs, 6)
 
 
 def test_empty_table(frame):
@@ -41,4 +43,4 @@ def test_empty_table(frame):
 
 def test_short_texts_only(frame):
     got = substrings.remove_repeats(frame([(1, "a b"), (2, "a b")], "doc_id long, text string")).collect()
-    assert sorted(map(tuple, got)) == [(1, 2, 0, "a b"), (2, 2, 0, "a b")]
+    assert sorted(map(tuple, got)) == [(1, 2, 0, "a b", []), (2, 2, 0, "a b", [])]
