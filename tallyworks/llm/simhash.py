@@ -177,7 +177,7 @@ def links(prints: DataFrame, radius: int = 2, leaf_rows: int = LEAF_ROWS) -> Dat
     rows = prints.count()
     share = min(1.0, SAMPLE_ROWS / max(1, rows), max(4096, 256 * rows / leaf_rows) / max(1, rows))
     picked = prints.where(F.pmod(F.xxhash64("fingerprint"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    sample = np.sort(np.array([r[0] for r in picked.collect()], dtype=np.int64)).view(np.uint64)
+    sample = np.sort(picked.select("fingerprint").toArrow().column(0).to_numpy()).view(np.uint64)
     root, nodes, _ = grown(np.random.default_rng(SEED).permutation(sample), rows, leaf_rows, radius)
     tree = spark.sparkContext.broadcast(nodes)
 
