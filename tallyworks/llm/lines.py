@@ -66,8 +66,9 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", lon
         units.groupBy("print").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
     )
     shared = units.join(prints.select("print"), "print", "left_semi")
-    first = shared.groupBy("print", "unit").agg(F.min(place).alias("first"))
-    hits = shared.join(first, ["print", "unit"]).where(F.col("first") < place)
+    # a unit has one print: keyed by the unit alone, no step needs all rows of a print in one task
+    first = shared.groupBy("unit").agg(F.min(place).alias("first"))
+    hits = shared.join(first, "unit").where(F.col("first") < place)
     return hits.select(key, F.explode("covers").alias("at")).distinct()
 
 
