@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from tallyworks.llm.store import save, small_batches
 
 #: Text bytes of one block of documents, and suffixes of one group: what a task holds in memory.
-BLOCK_BYTES = 8 << 20
-GROUP_ROWS = 2_000_000
+BLOCK_BYTES = 5 << 20
+GROUP_ROWS = 1_000_000
 
 #: Prefix lengths, in words, at which suffixes are split; a prefix that is too frequent passes on to the next.
 PREFIXES = (2, 5)
