@@ -63,21 +63,24 @@ def chosen_paths(nodes: DataFrame, paths: int = 1) -> DataFrame:
         ),
         "steps",
     )
-    levels, first = [], level
+    first, levels = level, []
+    live, done = level.where("up is not null"), level.where("up is null")
     rounds = max(1, level.count()).bit_length() + 1
-    while level.where("up is not null").limit(1).count() and len(levels) < rounds:
-        levels.append(level)
-        a, b = level.alias("a"), level.alias("b")
+    while live.limit(1).count() and len(levels) < rounds:
+        levels.append(live)
+        # only nodes that have not reached their root take the next step
+        a, b = live.alias("a"), live.unionByName(done).alias("b")
         met = F.col("a.tree_id").eqNullSafe(F.col("b.tree_id")) & (F.col("a.up") == F.col("b.node_id"))
         level = save(
-            a.join(b, met, "left").select(
+            a.join(b, met).select(
                 "a.tree_id", "a.node_id", F.col("b.up").alias("up"),
-                (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"),
-                (F.col("a.length") + F.coalesce("b.length", F.lit(0))).alias("length"),
+                (F.col("a.total") + F.col("b.total")).alias("total"),
+                (F.col("a.length") + F.col("b.length")).alias("length"),
             ),
             "steps",
         )
-    ends = level.where("up is null").drop("up")
+        live, done = level.where("up is not null"), done.unionByName(level.where("up is null"))
+    ends = done.drop("up")
     parents = first.where("up is not null").select(F.col("tree_id").alias("_t"), F.col("up").alias("_p")).distinct()
     leaf = F.col("tree_id").eqNullSafe(F.col("_t")) & (F.col("node_id") == F.col("_p"))
     rank = Window.partitionBy("tree_id").orderBy(
@@ -88,7 +91,7 @@ def chosen_paths(nodes: DataFrame, paths: int = 1) -> DataFrame:
         found.where(F.col("path_rank") <= paths).select("tree_id", "path_rank", F.lit(0).alias("up"), "node_id"), "paths"
     )
     for k in reversed(range(len(levels))):
-        jump = levels[k].where("up is not null").select(
+        jump = levels[k].select(
             F.col("tree_id").alias("_t"), F.col("node_id").alias("_n"), F.col("up").alias("_up")
         )
         above = found.join(jump, found["tree_id"].eqNullSafe(jump["_t"]) & (found["node_id"] == jump["_n"])).select(
