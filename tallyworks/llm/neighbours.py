@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tallyworks.llm.store import save
 
@@ -74,7 +75,7 @@ def _cells(vectors: DataFrame, tables: int, probes: int, hashes: int, role: int)
             lengths = np.diff(ends)
             for width in np.unique(lengths).tolist():
                 rows = np.flatnonzero(lengths == width)
-                x = values[ends[rows][:, None] + np.arange(width)]
+                x = values[ends[rows][:, None] + np.arange(width)].astype(np.float64)
                 for table in range(tables):
                     cells = nearest_axes(x, table, probes, hashes)
                     for j in range(cells.shape[1]):
@@ -85,7 +86,9 @@ def _cells(vectors: DataFrame, tables: int, probes: int, hashes: int, role: int)
                             names=["cell", "role", "name", "first", "v"],
                         )
 
-    return vectors.select("name", "first", "v").mapInArrow(hashing, "cell string, role int, name long, first long, v array<double>")
+    kind = vectors.schema["v"].dataType.simpleString()
+    schema = f"cell string, role int, name long, first long, v {kind}"
+    return vectors.select("name", "first", "v").mapInArrow(hashing, schema)
 
 
 def _nearest_in_cells(points: DataFrame, queries: DataFrame, k: int) -> DataFrame:
@@ -114,7 +117,7 @@ def _nearest_in_cells(points: DataFrame, queries: DataFrame, k: int) -> DataFram
                     end += 1
                 if keys[begin] != at:
                     at, held, names, x = keys[begin], [], [], None
-                part = values[ends[begin] : ends[end]].reshape(end - begin, -1)
+                part = values[ends[begin] : ends[end]].reshape(end - begin, -1).astype(np.float64)
                 if role[begin] == 0:
                     held.append(part)
                     names.append((name[begin:end], first[begin:end]))
@@ -163,12 +166,15 @@ def nearest(
     shuffled. A query that finds fewer than ``k + 1`` keys is compared with all vectors,
     cell by cell of one table.
     """
-    rows = vectors.where(usable(vector) & F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")
-    ).distinct()
-    asked = queries.where(usable(vector) & F.col(key).isNotNull()).select(
-        F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")
-    ).distinct()
+    # single precision travels as such and is widened where distances are taken
+    single = vectors.schema[vector].dataType.elementType == FloatType()
+    kind = "array<float>" if single else "array<double>"
+
+    def clean(table):
+        named = table.where(usable(vector) & F.col(key).isNotNull())
+        return named.select(F.col(key).cast("long").alias("id"), F.col(vector).cast(kind).alias("v")).distinct()
+
+    rows, asked = clean(vectors), clean(queries)
     few = Window.partitionBy("v").orderBy("id")
     held = rows.withColumn("_n", F.row_number().over(few)).where(F.col("_n") <= k + 1)
     merged = held.groupBy("v").agg(F.min("id").alias("first"), F.sort_array(F.collect_list("id")).alias("ids"))

@@ -61,6 +61,14 @@ def test_small_table_with_ties_copies_and_bad_vectors(frame):
     assert got == wanted
 
 
+def test_double_precision_vectors(spark):
+    rows = [(i, [1.0 + i * 1e-9, 2.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(neighbours.nearest(df, df.where("vec_id = 0"), k=3))
+    assert [i for _, i in got[0]] == [1, 2, 3]
+    assert got == exact(rows, rows[:1], 3)
+
+
 def test_many_copies_of_a_query(frame):
     df = frame([(i, [1.0, 1.0], "c", 1) for i in range(500)], VECTORS)
     got = found(neighbours.nearest(df, df.where("vec_id % 100 = 0")))
