@@ -88,18 +88,32 @@ def logistic(x: Sparse, y: np.ndarray, penalty: float = 1.0, steps: int = 150) -
     return w
 
 
+def drawn_logistic(x: np.ndarray, t: np.ndarray, start: np.ndarray, ridge: np.ndarray) -> np.ndarray:
+    """Logistic regression on a few columns, drawn towards ``start``: Newton steps, halved until the loss falls,
+    so that it ends on separable data too."""
+
+    def loss(w):
+        z = x @ w
+        return (np.logaddexp(0, z) - t * z).sum() + 0.5 * (ridge * (w - start) ** 2).sum()
+
+    w, now = start, loss(start)
+    for _ in range(50):
+        p = sigmoid(x @ w)
+        hessian = x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + np.diag(ridge)
+        step = np.linalg.solve(hessian, x.T @ (p - t) + ridge * (w - start))
+        while (new := loss(w - step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if new >= now - 1e-10:
+            break
+        w, now = w - step, new
+    return w
+
+
 def platt(score: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset that turn scores into calibrated log-odds: Newton steps, targets drawn in a little."""
+    """Slope and offset that turn scores into calibrated log-odds; targets are drawn in a little."""
     good = y.sum()
     t = np.where(y > 0, (good + 1) / (good + 2), 1 / (len(y) - good + 2))
-    a, b = 1.0, 0.0
-    for _ in range(50):
-        p = sigmoid(a * score + b)
-        r, s = p - t, p * (1 - p) + 1e-9
-        gradient = np.array([(r * score).sum() + 1e-3 * (a - 1), r.sum()])
-        hessian = np.array([[(s * score**2).sum() + 1e-3, (s * score).sum()], [(s * score).sum(), s.sum() + 1e-9]])
-        step = np.linalg.solve(hessian, gradient)
-        a, b = a - step[0], b - step[1]
+    a, b = drawn_logistic(np.c_[score, np.ones(len(y))], t, np.array([1.0, 0.0]), np.array([1.0, 0.01]))
     return float(a), float(b)
 
 
@@ -192,15 +206,8 @@ def co_train(words: View, rows: list[tuple]) -> tuple[View, View, np.ndarray] |
 
 
 def stacked(odds: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Weights of the views' log-odds and an offset: logistic regression drawn towards equal halves."""
-    x = np.c_[odds, np.ones(len(y))]
-    start = np.array([0.5, 0.5, 0.0])
-    w = start
-    for _ in range(50):
-        p = sigmoid(x @ w)
-        hessian = x.T @ (x * (p * (1 - p) + 1e-9)[:, None]) + np.eye(3)
-        w = w - np.linalg.solve(hessian, x.T @ (p - y) + (w - start))
-    return w
+    """Weights of the views' log-odds and an offset, drawn towards equal halves."""
+    return drawn_logistic(np.c_[odds, np.ones(len(y))], y, np.array([0.5, 0.5, 0.0]), np.ones(3))
 
 
 def _views(docs: DataFrame, *carry: str) -> DataFrame:

@@ -76,6 +76,21 @@ def test_reruns_agree(frame):
     assert first == second
 
 
+def test_few_labels_keep_the_clean_documents(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.score(docs, labels).join(labels, "doc_id").collect()
+    clean = [r for r in rows if r["quality"] == 1 and r["toxic"] == 0]
+    assert sum(r["keep"] for r in clean) >= 0.9 * len(clean)
+    assert len({round(r["score"], 6) for r in rows}) > 20
+
+
+def test_calibration_of_separable_scores():
+    for score, y in (([5.0, 6.0, -4.0, -7.0], [1.0, 1, 0, 0]), ([0.1, 0.1, 0.1, 0.1], [1.0, 0, 1, 0]), ([1e-9, 0, 2e4, -3e4], [0.0, 1, 1, 0])):
+        a, b = quality.platt(np.array(score), np.array(y))
+        assert 0 < a < 100 and abs(b) < 100
+
+
 def test_calibration_and_regression():
     random = np.random.default_rng(0)
     z = random.normal(size=4000) * 2
