@@ -36,8 +36,8 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """How often each document is taken into the mix and where its copies stand in the training order."""
-    return mixing.plan(docs)
+    """How often each document is taken into the mix and at which places its copies stand, in training order."""
+    return mixing.in_order(mixing.plan(docs, mixing.cycling_schedule))
 
 
 STAGES = [

@@ -55,6 +55,18 @@ def cycling_weights(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> D
     return placed.withColumn("weight", weight).select(*sources.columns, "weight")
 
 
+def cycling_schedule(
+    sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), tilts: tuple[float, ...] = (-0.6, 0.0, 0.6, 0.3, -0.3)
+) -> DataFrame:
+    """``cycling_weights`` and ``tilt``: how each source's weight falls or rises over time, dealt in the same order."""
+    tilted = cycling_weights(sources, tuple(range(len(tilts)))).withColumnRenamed("weight", "_at")
+    weighted = cycling_weights(sources, cycle)
+    tilt = F.element_at(F.array(*map(F.lit, tilts)), (F.col("_at") + 1).cast("int")).alias("tilt")
+    return weighted.join(tilted, same(weighted, tilted, ["source"])).select(
+        *[weighted[c] for c in weighted.columns], tilt
+    )
+
+
 def position(share: Column, tilt: Column) -> Column:
     """The time at which a source has met a ``share`` of its demand.
 
@@ -70,15 +82,17 @@ def plan(docs: DataFrame, weights=cycling_weights, most: int = MOST_REPEATS, key
     """How often every document is taken, and where in the training order.
 
     ``docs`` has ``key``, ``source``, ``text`` and may have ``tilt`` (-1 to 1, one
-    value per source: the slope of its weight over time, 0 for constant). Within a
+    value per source: the slope of its weight over time, 0 for constant); without it the
+    ``tilt`` that ``weights`` gives a source counts. Within a
     source documents queue in the order of the md5 of their key, and the queue is passed as often
     as the target asks: a document is taken once for every pass on which its first
     word lies before the target. Returns a row per document: ``size``, ``source_size``,
-    ``target``, ``taken`` words and ``positions`` (times from 0 to 1, one for
-    each copy taken). Null text has no words; null is a source of its own; repeated rows
+    ``target``, ``taken`` words (of the copies placed), ``positions`` (times from 0 to 1, one for
+    each copy taken) and ``places`` (the ranks of these copies among the copies of all sources, from 0,
+    by position, ties by key). Null text has no words; null is a source of its own; repeated rows
     queue one after another; documents without words are never taken.
     """
-    tilt = F.col("tilt").cast("double") if "tilt" in docs.columns else F.lit(0.0)
+    tilt = F.col("tilt").cast("double") if "tilt" in docs.columns else F.lit(None).cast("double")
     rows = save(
         docs.select(
             key, "source", n_words("text").alias("size"), tilt.alias("_tilt"),
@@ -88,8 +102,10 @@ def plan(docs: DataFrame, weights=cycling_weights, most: int = MOST_REPEATS, key
     )
     sources = targets(weights(rows.groupBy("source").agg(F.sum("size").alias("source_size"))), most)
     queued = running(rows, ["source"], ["_order", key, "size"], "size", "_before")
+    given = sources["tilt"].cast("double") if "tilt" in sources.columns else F.lit(None).cast("double")
     joined = queued.join(sources, same(queued, sources, ["source"]), "left").select(
-        *[queued[c] for c in queued.columns], "source_size", "target"
+        *[queued[c] for c in queued.columns if c != "_tilt"], "source_size", "target",
+        F.coalesce(queued["_tilt"], given, F.lit(0.0)).alias("_tilt"),
     )
     # pass p of the queue starts at p times the source's words
     passes = F.filter(
@@ -97,14 +113,35 @@ def plan(docs: DataFrame, weights=cycling_weights, most: int = MOST_REPEATS, key
         lambda p: (F.col("size") > 0) & (p * F.col("source_size") + F.col("_before") < F.col("target")),
     )
     when = lambda p: position((p * F.col("source_size") + F.col("_before")) / F.col("target"), F.col("_tilt"))
-    return joined.withColumn("_passes", passes).select(
-        key, "source", "size", "source_size", "target",
-        (F.col("size") * F.size("_passes")).alias("taken"),
-        F.transform("_passes", when).alias("positions"),
+    timed = save(joined.select(
+        key, "source", "size", "source_size", "target", "_before", F.transform(passes, when).alias("_positions")
+    ), "timed")
+    copies = timed.select(
+        key, "source", "size", "_before", F.posexplode("_positions").alias("_pass", "position")
+    ).withColumn("_one", F.lit(1))
+    # of documents with words, the words before it tell a document from the others of its source
+    placed = running(copies, [], ["position", key, "source", "_pass"], "_one", "_place").groupBy("source", "_before").agg(
+        F.sum("size").alias("_taken"), F.sort_array(F.collect_list(F.struct("_pass", "position", "_place"))).alias("_copies")
+    )
+    met = same(timed, placed, ["source", "_before"]) & (timed["size"] > 0)
+    part = lambda field: F.coalesce(F.transform("_copies", lambda c: c[field]), F.array()).alias
+    return timed.join(placed, met, "left").select(
+        key, timed["source"], "size", "source_size", "target",
+        F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"),
+        part("position")("positions"), part("_place")("places"),
     )
 
 
 def mix(docs: DataFrame, weights=cycling_weights, most: int = MOST_REPEATS, key: str = "doc_id") -> DataFrame:
-    """The training order: one row for every copy taken, range-sorted by ``position``, ties by key."""
-    copies = plan(docs, weights, most, key).select(key, "source", "size", F.explode("positions").alias("position"))
-    return copies.repartitionByRange("position", key).sortWithinPartitions("position", key)
+    """The training order: one row for every copy taken, range-sorted by ``place``: by ``position``, ties by key."""
+    planned = plan(docs, weights, most, key)
+    copies = planned.select(key, "source", "size", F.explode(F.arrays_zip("positions", "places")).alias("_copy")).select(
+        key, "source", "size", F.col("_copy.positions").alias("position"), F.col("_copy.places").alias("place")
+    )
+    return copies.repartitionByRange("place").sortWithinPartitions("place")
+
+
+def in_order(planned: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows of a plan range-sorted by the place of their first copy; documents never taken come last, by key."""
+    order = [F.get("places", F.lit(0)).asc_nulls_last(), F.col(key).asc_nulls_last()]
+    return planned.repartitionByRange(*order).sortWithinPartitions(*order)

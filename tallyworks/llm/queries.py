@@ -73,7 +73,7 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    planned = mixing.plan(_table(spark, folder, "documents"))
+    planned = mixing.in_order(mixing.plan(_table(spark, folder, "documents"), mixing.cycling_schedule))
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 

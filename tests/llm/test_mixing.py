@@ -2,7 +2,10 @@ import random
 
 import pytest
 
+import corpus_pipeline
 from tallyworks.llm import mixing
+from tallyworks.llm.queries import op10_mixing
+from tests.conftest import SMALL
 
 DOCS = "doc_id long, source string, text string, target string, _stretch int"
 
@@ -86,3 +89,22 @@ def test_words(frame):
     import re
 
     assert got == [len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for t in texts]
+
+
+def test_places_are_the_training_order(frame):
+    rows = [(i, f"s{i % 7}", "w " * (1 + i % 5), "t", 1) for i in range(210)]
+    df = frame(rows, DOCS).drop("target")
+    got = mixing.plan(df, mixing.cycling_schedule).collect()
+    copies = [(p, r.doc_id, r.source, place) for r in got for p, place in zip(r.positions, r.places, strict=True)]
+    assert [c[3] for c in sorted(copies)] == list(range(len(copies)))
+    assert [(r.position, r.doc_id, r.source, r.place) for r in mixing.mix(df, mixing.cycling_schedule).collect()] == sorted(copies)
+
+
+def test_stage_and_query_follow_a_schedule(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = corpus_pipeline.mixing_sources(spark, docs, SMALL).collect()
+    firsts = [r.places[0] for r in rows if r.places]
+    assert firsts == sorted(firsts) and all(r.places for r in rows[: len(firsts)])
+    early, late = ([p for r in rows for p in r.positions if r.source == s] for s in ("src0", "src10"))
+    assert sum(early) / len(early) < 0.45 and sum(late) / len(late) > 0.55  # tilts -0.6 and 0.6
+    assert [r.doc_id for r in op10_mixing(spark, SMALL).collect()][: len(firsts)] == [r.doc_id for r in rows][: len(firsts)]
