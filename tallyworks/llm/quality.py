@@ -8,16 +8,24 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+)
 
 from tallyworks.llm.store import save, small_batches
 
-#: Rows the classifiers are fitted on: labelled ones, and unlabelled ones that get pseudo-labels.
-LABELLED_ROWS, POOL_ROWS = 6_000, 3_000
+#: Labelled rows the classifiers are fitted on. Unlabelled rows teach them all.
+LABELLED_ROWS = 6_000
 
 #: Features of the text view; rounds of exchange; how sure a view must be to hand on a label.
 VOCABULARY, ROUNDS, SURE = 4_000, 2, 0.98
 
+#: Gradient steps of a round, each a pass over the features of all unlabelled documents.
+PASSES = 16
+
+#: Gradients are added up in whole multiples of this: sums don't depend on how rows are dealt.
+GRAIN = 2.0**-20
+
 #: A document is kept if the combined views give it at least this probability of being good.
 THRESHOLD = 0.5
 
@@ -63,6 +71,14 @@ class Sparse:
         self.columns = np.fromiter((c for r in rows for c in r), dtype=np.int64, count=int(self.lengths.sum()))
         self.rows = np.repeat(np.arange(len(rows)), self.lengths)
 
+    @classmethod
+    def of(cls, lists: pa.ListArray, width: int) -> Sparse:
+        made = cls([], width)
+        made.lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        made.columns = lists.flatten().to_numpy(zero_copy_only=False)
+        made.rows = np.repeat(np.arange(len(lists)), made.lengths)
+        return made
+
     def times(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.rows, weights=w[self.columns], minlength=len(self.lengths))
 
@@ -165,15 +181,90 @@ def page_view(items: list[tuple]) -> View:
     return View({name: i for i, name in enumerate(names)}, bins)
 
 
-def co_train(words: View, rows: list[tuple]) -> tuple[View, View, np.ndarray] | None:
-    """Fit both views on rows ``(word features, metadata, good, check)``; ``good`` is None in the unlabelled pool.
+def class_sums(unlabelled: DataFrame, widths: list[int], frozen: list, ahead: list, curved: bool) -> list[list[dict]]:
+    """For each view and class (bad, good), sums over all documents that the other view, as ``frozen``, is sure are
+    of that class: the gradient at the weights ``ahead`` and, if ``curved``, a bound on the curvature and the count."""
 
-    In every round each view labels the documents of the pool of which it is sure, in the
-    proportion of the classes, and the other view learns from them. Labelled rows marked
+    def summing(batches):
+        total = np.zeros(0)
+        for batch in batches:
+            x = [Sparse.of(batch.column(c), width) for c, width in zip(("words", "page"), widths)]
+            part = []
+            for i, own in enumerate(x):
+                w, (a, b) = frozen[1 - i]
+                p = sigmoid(a * (x[1 - i].times(w[:-1]) + w[-1]) + b)
+                now = sigmoid(own.times(ahead[i][:-1]) + ahead[i][-1])
+                for label, sure in ((0, p < 1 - SURE), (1, p > SURE)):
+                    r = np.where(sure, np.round((now - label) / GRAIN), 0.0)
+                    part += [own.gathered(r), [r.sum()]]
+                    if curved:
+                        n = np.where(sure, own.lengths + 1.0, 0.0)
+                        part += [own.gathered(n), [n.sum()], [sure.sum()]]
+            total = np.concatenate(part) + (total if total.size else 0.0)
+        if total.size:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    size = sum(2 * (2 * (width + 1) + 1 if curved else width + 1) for width in widths)
+    total = np.zeros(size)
+    for row in unlabelled.mapInArrow(summing, "sums binary").collect():
+        total += np.frombuffer(row["sums"])
+    out, at = [], 0
+    for width in widths:
+        out.append([])
+        for _ in range(2):
+            found = {"gradient": total[at : at + width + 1] * GRAIN}
+            at += width + 1
+            if curved:
+                found |= {"curvature": total[at : at + width + 1], "n": total[at + width + 1]}
+                at += width + 2
+            out[-1].append(found)
+    return out
+
+
+def learn_further(views: list[View], known: list[Sparse], y: np.ndarray, unlabelled: DataFrame, penalty: float = 1.0):
+    """A round of exchange: each view goes on learning from its labelled rows and every document of which the other is sure.
+
+    Together these documents weigh as much as the labelled rows at most, shared by class as the labels are, and none
+    weighs more than a labelled row. What a class with few or none of them lacks goes to its labelled rows, so
+    the classes stay in proportion. Steps as in ``logistic``, from the weights so far.
+    """
+    frozen = [(v.weights, v.calibration) for v in views]
+    now = [v.weights for v in views]
+    before, widths = now, [x.width for x in known]
+    rows, shares, scales = [], [], []
+    for t in range(PASSES):
+        ahead = [w + (w - old) * t / (t + 3) for w, old in zip(now, before)]
+        sums = class_sums(unlabelled, widths, frozen, ahead, t == 0)
+        for x, found in zip(known, sums if t == 0 else []):
+            many = min(sum(f["n"] for f in found), len(y))
+            wanted = [many * (1 - y.mean()), many * y.mean()]
+            share = [min(1.0, want / f["n"]) if f["n"] else 0.0 for want, f in zip(wanted, found)]
+            lacks = [want - part * f["n"] for want, part, f in zip(wanted, share, found)]
+            own = 1 + np.where(y > 0, lacks[1] / y.sum(), lacks[0] / (len(y) - y.sum()))
+            spread = own * (x.lengths + 1)
+            curvature = np.r_[x.gathered(spread), spread.sum()] + sum(a * f["curvature"] for a, f in zip(share, found))
+            rows.append(own)
+            shares.append(share)
+            scales.append(0.25 * curvature + np.r_[np.full(x.width, penalty), 1e-9])
+        after = []
+        for x, own, share, scale, w, found in zip(known, rows, shares, scales, ahead, sums):
+            r = own * (sigmoid(x.times(w[:-1]) + w[-1]) - y)
+            gradient = np.r_[x.gathered(r) + penalty * w[:-1], r.sum()]
+            after.append(w - (gradient + sum(a * f["gradient"] for a, f in zip(share, found))) / scale)
+        before, now = now, after
+    for view, w in zip(views, now):
+        view.weights = w
+
+
+def co_train(words: View, labelled: list[tuple], features_of_rest) -> tuple[View, View, np.ndarray] | None:
+    """Fit both views on labelled rows ``(word features, metadata, good, check)`` and all unlabelled documents, whose
+    feature numbers ``features_of_rest(page view)`` gives as a table (``words``, ``page``).
+
+    In every round each view labels the documents of which it is sure, anew among all unlabelled ones, and
+    the other view learns from every one of them. Labelled rows marked
     ``check`` only calibrate: first each view, then the weights by which their log-odds are
     combined. None without rows of both classes.
     """
-    labelled, pool = [r for r in rows if r[2] is not None], [r for r in rows if r[2] is None]
     y = np.array([r[2] for r in labelled], dtype=float)
     if len(y) < 8 or not 0 < y.sum() < len(y):
         return None
@@ -183,24 +274,17 @@ def co_train(words: View, rows: list[tuple]) -> tuple[View, View, np.ndarray] |
     check = ~learn if not learn.all() else learn
     page = page_view([r[1] for r, use in zip(labelled, learn) if use])
     views = [words, page]
-    known, unknown = ([[r[0] for r in part], [page.features(r[1]) for r in part]] for part in (labelled, pool))
+    known = [[r[0] for r in labelled], [page.features(r[1]) for r in labelled]]
     pick = lambda rows, which: [rows[i] for i in np.flatnonzero(which)]
-    given = [(np.zeros(0, dtype=int), np.zeros(0)) for _ in views]  # pseudo-labels that a view has been handed
+    for view, rows in zip(views, known):
+        view.fit(pick(rows, learn), y[learn])
+    unlabelled = features_of_rest(page)
+    own = [Sparse(pick(rows, learn), len(view.number)) for view, rows in zip(views, known)]
     for turn in range(ROUNDS + 1):
-        for i, view in enumerate(views):
-            handed, labels = given[i]
-            view.fit(pick(known[i], learn) + [unknown[i][j] for j in handed], np.r_[y[learn], labels])
-            view.calibration = platt(view.score(pick(known[i], check)), y[check])
-        if turn == ROUNDS or not pool:
-            break
-        for i, view in enumerate(views):
-            p = sigmoid(view.log_odds(unknown[i]))
-            good, bad = np.flatnonzero(p > SURE), np.flatnonzero(p < 1 - SURE)
-            # the surest of each class, as many as keep the classes in proportion
-            many = min(len(good) / y.mean(), len(bad) / (1 - y.mean()))
-            good = good[np.argsort(-p[good], kind="stable")][: int(many * y.mean())]
-            bad = bad[np.argsort(p[bad], kind="stable")][: int(many * (1 - y.mean()))]
-            given[1 - i] = (np.r_[good, bad], np.r_[np.ones(len(good)), np.zeros(len(bad))])
+        for view, rows in zip(views, known):
+            view.calibration = platt(view.score(pick(rows, check)), y[check])
+        if turn < ROUNDS:
+            learn_further(views, own, y[learn], unlabelled)
     odds = np.stack([v.log_odds(pick(known[i], check)) for i, v in enumerate(views)], axis=1)
     return words, page, stacked(odds, y[check])
 
@@ -224,8 +308,9 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
 
     ``labels`` has ``key``, ``quality`` and ``toxic``: good is quality 1 and not toxic; a null label is no label, and
     of contradicting labels of a key the worse counts. The two classifiers are fitted on
-    at most about ``LABELLED_ROWS`` labelled and ``POOL_ROWS`` unlabelled documents, picked by a hash of their
-    key. Spark makes their features and picks the vocabulary; the driver gets feature numbers. Every document is scored, with its whole text. Null and empty texts are scored by
+    at most about ``LABELLED_ROWS`` labelled documents, picked by a hash of their key, and on all unlabelled ones.
+    Spark makes their features and picks the vocabulary; the driver gets the feature numbers of labelled ones and,
+    for all others, sums per task. Every document is scored, with its whole text. Null and empty texts are scored by
     their metadata. Without labels of both classes everything stays, with score 1.
     """
     scored = _scored(docs, labels, key, [key])
@@ -240,15 +325,9 @@ def _scored(docs: DataFrame, labels: DataFrame, key: str, carry: list[str]) -> D
     )
     place = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(1 << 20))
     ids = docs.select(key).where(F.col(key).isNotNull())
-    tagged = ids.join(judged, ids[key] == judged["_id"], "left").groupBy(key).agg(F.min("good").alias("good"))
-    tagged = save(tagged, "tagged")
-    n = tagged.agg(F.count("good"), F.count("*")).first()
-    shares = [min(1.0, rows / max(1, many)) for rows, many in ((LABELLED_ROWS, n[0]), (POOL_ROWS, n[1] - n[0]))]
-    drawn = tagged.where(
-        F.when(F.col("good").isNotNull(), place < int(shares[0] * (1 << 20))).otherwise(
-            place < int(shares[1] * (1 << 20))
-        )
-    )
+    tagged = save(ids.join(judged, ids[key] == judged["_id"]).groupBy(key).agg(F.min("good").alias("good")), "tagged")
+    share = min(1.0, LABELLED_ROWS / max(1, tagged.count()))
+    drawn = tagged.where(place < int(share * (1 << 20)))
     rows = docs.join(F.broadcast(drawn.withColumnRenamed(key, "_id")), F.col(key) == F.col("_id"))
     if rows.limit(1).count() == 0:
         return docs.select(*carry, F.lit(1.0).alias("_score"))
@@ -275,7 +354,7 @@ def _scored(docs: DataFrame, labels: DataFrame, key: str, carry: list[str]) -> D
     made = save(
         made.join(F.broadcast(told), F.col(key) == F.col("_id")).withColumn("check", check).drop("_id"), "features"
     )
-    names = vocabulary(made.where("good is not null and not check"))
+    names = vocabulary(made.where("not check"))
     words = View({name: i for i, name in enumerate(names)})
 
     def numbered(batches):
@@ -291,7 +370,30 @@ def _scored(docs: DataFrame, labels: DataFrame, key: str, carry: list[str]) -> D
     kinds = StructType([StructField("words", ArrayType(LongType()))] + [made.schema[c] for c in columns[1:]])
     fitted = made.select(*columns).mapInArrow(numbered, kinds).collect()
     fitted.sort(key=lambda r: (r["measures"], r["words"], r["names"], str(r["good"]), r["check"]))
-    model = co_train(words, [(r["words"], (r["names"], r["measures"]), r["good"], r["check"]) for r in fitted])
+
+    def features_of_rest(page: View) -> DataFrame:
+        """Feature numbers of all documents without a label; texts stay where they are."""
+        known = [(v.number, v.bins) for v in (words, page)]
+
+        def numbering(batches):
+            views = [View(*v) for v in known]
+            for batch in batches:
+                rows = list(zip(*(batch.column(c).to_pylist() for c in ("_raw", "_source", "_lang"))))
+                found = [
+                    [sorted(views[0].features(content(raw))) for raw, *_ in rows],
+                    [sorted(views[1].features(metadata(*row))) for row in rows],
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(key), *(pa.array(f, pa.list_(pa.int32())) for f in found)], names=[key, "words", "page"]
+                )
+
+        kinds = docs.select(key).schema.add("words", ArrayType(IntegerType())).add("page", ArrayType(IntegerType()))
+        numbers = _views(docs, key).mapInArrow(numbering, kinds)
+        return save(numbers.join(judged, F.col(key) == F.col("_id"), "left_anti").select("words", "page"), "unlabelled")
+
+    model = co_train(
+        words, [(r["words"], (r["names"], r["measures"]), r["good"], r["check"]) for r in fitted], features_of_rest
+    )
     if model is None:
         return docs.select(*carry, F.lit(1.0).alias("_score"))
     words, page, weights = model

@@ -101,3 +101,26 @@ def test_calibration_and_regression():
     y = (random.random(2000) < quality.sigmoid(x @ np.array([2.0, -1.0, 0.0]))).astype(float)
     w = quality.logistic(quality.Sparse([np.flatnonzero(r).tolist() for r in x], 3), y, penalty=0.1, steps=500)
     assert np.allclose(w, [2, -1, 0, 0], atol=0.35)
+
+
+def test_every_unlabelled_document_teaches(spark):
+    docs, _ = corpus(4400, seed=3)
+    docs = [(i, " ".join(text.split()[:25]), *rest) for i, text, *rest in docs]
+    labels = spark.createDataFrame([(i, int(i % 5 != 0), int(i % 5 == 1)) for i in range(400)], LABELS)
+    df = spark.createDataFrame(docs, DOCS).repartition(4)
+    # a hash of the key that a sample of 3,000 unlabelled documents would be drawn by
+    left_out = (F.col("doc_id") >= 400) & (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) >= (3 << 20) // 4)
+    assert df.where(left_out).count() > 800
+    other = df.withColumn("text", F.when(left_out, F.lit("FULL!! OF!! NOISE!! dreadful")).otherwise(F.col("text")))
+    first, second = ({r.doc_id: r.score for r in quality.score(d, labels).where("doc_id < 400").collect()} for d in (df, other))
+    assert first.keys() == second.keys() and first != second
+
+
+def test_sums_hold_every_sure_document(frame):
+    rows = [([0], [0])] * 5000 + [([1], [1])] * 7 + [([0, 1], [0, 1])] * 9
+    frozen = [(np.array([9.0, -9, 0]), (1.0, 0.0))] * 2
+    df = frame(rows, "words array<int>, page array<int>").repartition(3)
+    for bad, good in quality.class_sums(df, [2, 2], frozen, [np.zeros(3)] * 2, True):
+        assert (bad["n"], good["n"]) == (7, 5000)
+        assert good["gradient"].tolist() == [-2500, 0, -2500] and bad["gradient"].tolist() == [0, 3.5, 3.5]
+        assert good["curvature"].tolist() == [10000, 0, 10000] and bad["curvature"].tolist() == [0, 14, 14]
