@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.store import save
@@ -37,12 +37,13 @@ def _marked(text: str, long_words: int) -> Column:
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", long_words: int = LONG_WORDS) -> DataFrame:
-    """``(key, at)``: lines to delete, as places in the text split at line feeds.
+    """``(key, row, at)``: lines to delete, as places in the text split at line feeds. ``row`` is the hash of
+    the text: with the key it tells rows apart.
 
     Lines are compared without blanks at their ends; blank lines are neither
     compared nor deleted. Two lines in a row, or one of ``long_words`` words, are
     a unit; a unit is repeated if the same unit starts at an earlier place, in
-    order of key and line, and the lines of repeated units are deleted.
+    order of key, row and line, and the lines of repeated units are deleted.
 
     Winnowing: of every two neighbouring line hashes the smaller one (the later, if
     equal) is a fingerprint, and so is every long line; any repeated run of two
@@ -52,24 +53,22 @@ def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", lon
     what they match is the earliest place of the unit, not every pair of places.
     Groups are reduced to their earliest place before the shuffle.
     """
-    marked = docs.select(key, _marked(text, long_words).alias("m"))
+    marked = docs.select(F.col(key).alias("key"), _hash(F.col(text)).alias("row"), _marked(text, long_words).alias("m"))
     pairs = F.transform(
         F.when(F.size("m") > 1, F.sequence(F.lit(0), F.size("m") - 2)).otherwise(F.array().cast("array<int>")),
         lambda i: _unit(F.get("m", i), F.get("m", i + 1)),
     )
     longs = F.transform(F.filter("m", lambda s: s["long"]), _alone)
     units = save(
-        marked.select(key, F.explode(F.concat(pairs, longs)).alias("u")).select(key, "u.*"), "units"
-    )
-    place = F.struct(F.col(key).alias("k"), F.col("at").alias("at"))
-    prints = (
-        units.groupBy("print").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
+        marked.select("key", "row", F.explode(F.concat(pairs, longs)).alias("u")).select("key", "row", "u.*"), "units"
     )
+    place = F.struct("key", "row", "at")
+    prints = units.groupBy("print").agg(F.count("*").alias("n")).where("n > 1")
     shared = units.join(prints.select("print"), "print", "left_semi")
     # a unit has one print: keyed by the unit alone, no step needs all rows of a print in one task
     first = shared.groupBy("unit").agg(F.min(place).alias("first"))
     hits = shared.join(first, "unit").where(F.col("first") < place)
-    return hits.select(key, F.explode("covers").alias("at")).distinct()
+    return hits.select("key", "row", F.explode("covers").alias("at"))
 
 
 def _unit(a: Column, b: Column) -> Column:
@@ -97,19 +96,43 @@ def deduplicate_lines(
     """Delete later occurrences of repeated runs of lines; adds ``n_lines`` and ``n_removed``.
 
     Every row stays, also one that loses all its lines (its text is then empty).
-    Rows with the same key count as versions of one document and lose the same lines;
-    so do rows without a key, which come first in order. Null text stays null and has no lines.
+    Every row loses its own lines only: rows that share a key, or have none (these come first in order), are told apart
+    by a hash of their text. Of rows with the same key and text one is the first, and what repeats in
+    the others is deleted. Null text stays null and has no lines.
     """
-    repeats = repeated_lines(docs, key, text, long_words)
-    gone = repeats.groupBy(F.col(key).alias("_key")).agg(F.collect_set("at").alias("_gone"))
+    several = docs.groupBy(F.col(key).alias("key"), _hash(F.col(text)).alias("row")).agg(F.count("*").alias("n"))
+    fates = repeated_lines(docs, key, text, long_words).withColumn("n", F.lit(1).cast("long")).unionByName(
+        several.where("n > 1").withColumn("at", F.lit(None).cast("int"))
+    )
+    fates = save(
+        fates.groupBy(F.col("key").alias("_key"), F.col("row").alias("_hash")).agg(
+            F.collect_set("at").alias("_gone"), F.max("n").alias("_n")
+        ),
+        "fates",
+    )
+    rows = docs.withColumn("_row", _hash(F.col(text)))
+    # the fates grow with the rows: the same join at every size
+    joined = rows.join(fates.hint("merge"), _met(rows, fates, key), "left").where("_n is null or _n = 1")
+    copies = fates.where("_n > 1")
+    others = [c for c in docs.columns if c != text]
+    turn = F.row_number().over(Window.partitionBy(key, "_row").orderBy(F.xxhash64(F.lit(0), *others)))
+    marked, at = _marked(text, long_words), lambda s: s["at"]
+    # all lines of a later copy belong to units of the first, but a short line alone
+    again = F.when((F.size(marked) > 1) | F.exists(marked, lambda s: s["long"]), F.transform(marked, at))
+    again = F.coalesce(again, F.array().cast("array<int>"))
+    copies = rows.join(copies, _met(rows, copies, key)).withColumn("_turn", turn)
+    copies = copies.withColumn("_gone", F.when(F.col("_turn") == 1, F.col("_gone")).otherwise(again)).drop("_turn")
+    joined = joined.unionByName(copies)
     lines = F.split(F.col(text), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    joined = docs.join(gone, docs[key].eqNullSafe(gone["_key"]), "left")
     n_lines = F.coalesce(F.size(F.filter(lines, lambda line: F.trim(line) != "")), F.lit(0)).cast("long")
-    others = [docs[c] for c in docs.columns if c != text]
     return joined.select(
         *others,
         F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text),
         F.when(F.col(text).isNull(), F.lit(0).cast("long")).otherwise(n_lines).alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
+
+
+def _met(rows: DataFrame, fates: DataFrame, key: str) -> Column:
+    return rows[key].eqNullSafe(fates["_key"]) & (rows["_row"] == fates["_hash"])

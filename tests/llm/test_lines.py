@@ -52,3 +52,20 @@ def test_empty_table_and_no_python(frame):
     df = lines.deduplicate_lines(frame([], "doc_id long, text string"))
     assert df.count() == 0
     assert "Python" not in df._jdf.queryExecution().toString()
+
+
+def test_rows_without_or_with_a_shared_key_lose_their_own_lines(frame):
+    docs = [(None, "p\nq\nr\ns"), (None, "k\nl\na\nb\nm"), (None, "t\nu\na\nb\nz"), (4, "c\nd\ne"), (4, "a\nb\nf"), (4, "g\nh\ni")]
+    got = lines.deduplicate_lines(frame(docs, "doc_id long, text string")).collect()
+    assert sorted(r.n_removed for r in got if r.doc_id is None) == [0, 0, 2]
+    assert sorted(r.text for r in got if r.doc_id == 4) == ["c\nd\ne", "f", "g\nh\ni"]
+    kept = "\n".join(r.text for r in got).split("\n")
+    assert sorted(set(kept)) == sorted(set("pqrsklabmtuzcdefghi")) and len(kept) == len(set(kept))
+
+
+@pytest.mark.parametrize("key", [None, 3])
+def test_of_equal_rows_one_is_the_first(frame, key):
+    docs = [(key, "x\n\ny"), (key, "x\n\ny"), (key, "x\n\ny"), (key, "alone"), (key, "alone"), (key, None), (key, None)]
+    got = lines.deduplicate_lines(frame(docs, "doc_id long, text string")).collect()
+    found = sorted(((r.text, r.n_lines, r.n_removed) for r in got), key=str)
+    assert found == sorted([("x\n\ny", 2, 0), ("", 2, 2), ("", 2, 2)] + [("alone", 1, 0)] * 2 + [(None, 0, 0)] * 2, key=str)
