@@ -31,13 +31,62 @@ def address(url: Column) -> Column:
     return F.when(host_of(url) != "", F.concat(plain, F.when(query != "", F.concat(F.lit("?"), query)).otherwise("")))
 
 
-def links_in(html: Column) -> Column:
-    """Absolute addresses that a page names as its canonical link or sends its reader on to."""
+def resolved(link: Column, base: Column) -> Column:
+    """A link as an absolute http(s) address, as read on the page ``base``: absolute, without scheme, from the root,
+    or relative, with ``.`` and ``..`` taken up; empty for other schemes and where the page has no host."""
+    page = F.when(F.rlike(base, F.lit(r"(?i)^https?://[^/?#]")), base)
+    scheme, host = F.regexp_extract(page, r"^([^:]*:)", 1), F.regexp_extract(page, r"^([^:]*://[^/?#]*)", 1)
+    path, query = path_of(page), F.regexp_extract(page, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    folder = F.regexp_replace(F.when(path == "", "/").otherwise(path), r"[^/]*$", "")
+    rest = F.regexp_extract(link, r"(?s)([?#].*)$", 1)
+    own = F.regexp_extract(link, r"(?s)^([^?#]*)", 1)
+    joined = F.split(F.when(F.startswith(own, F.lit("/")), own).otherwise(F.concat(folder, own)), "/", -1)
+    # a step .. takes away the last segment, never the empty one before the first slash
+    steps = F.aggregate(
+        joined,
+        F.array().cast("array<string>"),
+        lambda done, step: F.when(step == ".", done)
+        .when(step == "..", F.slice(done, 1, F.greatest(F.lit(1), F.size(done) - 1)))
+        .otherwise(F.concat(done, F.array(step))),
+    )
+    # a final . or .. names a folder
+    walked = F.concat(F.array_join(steps, "/"), F.when(F.rlike(own, F.lit(r"(^|/)\.\.?$")), "/").otherwise(""))
+    walked = F.when(own == "", F.concat(path, F.when(F.startswith(rest, F.lit("?")), "").otherwise(query))).otherwise(walked)
+    return F.coalesce(
+        F.when(link == "", "")
+        .when(F.rlike(link, F.lit(r"(?i)^https?://")), link)
+        .when(F.rlike(link, F.lit(r"(?i)^[a-z][a-z0-9+.-]*:")), "")
+        .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
+        .otherwise(F.concat(host, walked, rest)),
+        F.lit(""),
+    )
+
+
+def links_in(html: Column, base: Column) -> Column:
+    """Addresses that a page at ``base`` names as its canonical link or sends its reader on to; empty without one."""
     tags = F.concat(
-        F.regexp_extract_all(html, F.lit(r"(?i)(<link\b[^>]*\brel=[\"']?canonical\b[^>]*>)"), 1),
-        F.regexp_extract_all(html, F.lit(r"(?i)(<meta\b[^>]*\bhttp-equiv=[\"']?refresh\b[^>]*>)"), 1),
+        F.regexp_extract_all(html, F.lit(r"(?i)(<link\b[^>]*\brel\s*=\s*[\"']?\s*canonical\b[^>]*>)"), 1),
+        F.regexp_extract_all(html, F.lit(r"(?i)(<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?\s*refresh\b[^>]*>)"), 1),
     )
-    return F.transform(tags, lambda t: F.regexp_extract(t, r"(?i)(?:href=|url=)[\"']?\s*(https?://[^\"'\s>]+)", 1))
+    # in quotes up to the same quote, which may hold blanks; else up to a blank
+    found = F.transform(
+        tags,
+        lambda t: F.regexp_extract(
+            t,
+            r"(?i)\b(?:href|url)\s*=\s*(?:\"\s*([^\">]*)|'\s*([^'>]*)|([^\"'\s>]+))", 0,
+        ),
+    )
+    bare = lambda t: F.regexp_replace(t, r"(?i)^(?:href|url)\s*=\s*[\"']?\s*|\s+$", "")
+    return F.transform(found, lambda t: resolved(decoded(bare(t)), base))
+
+
+def decoded(text: Column) -> Column:
+    """Character references that addresses are written with: ``&amp;``, by number too, quotes and slashes."""
+    for reference, character in (
+        (r"quot|#0*34|#x0*22", '"'), (r"apos|#0*39|#x0*27", "'"), (r"#0*47|#x0*2f|sol", "/"), (r"amp|#0*38|#x0*26", "&"),
+    ):
+        text = F.regexp_replace(text, f"(?i)&(?:{reference});", character)
+    return text
 
 
 def judge(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -82,7 +131,7 @@ def filter_pages(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None
 
     A url with a rule has that rule's verdict. The others take the verdict of
     their aliases: addresses joined by redirects (an optional table ``source``,
-    ``target``), canonical links or refreshes in the pages, and spellings of one
+    ``target``), canonical links or refreshes in the pages, resolved against the page's url, and spellings of one
     address that differ in scheme, fragment, final slash or tracking parameters.
     Aliases are connected components of that graph. If a rule allows any alias
     the verdict is allow, else block if a rule blocks any, else allow. ``alias_of``
@@ -91,7 +140,7 @@ def filter_pages(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None
     Repeated rows stay repeated. Native column functions and joins throughout.
     """
     named = save(
-        pages.select("url", address(F.col("url")).alias("node"), links_in(F.col("html")).alias("links")).distinct(),
+        pages.select("url", address(F.col("url")).alias("node"), links_in(F.col("html"), F.col("url")).alias("links")).distinct(),
         "links",
     )
     judged = save(judge(named.where("url is not null"), rules), "judged")

@@ -74,3 +74,34 @@ def test_empty_tables(frame, pages, rules):
 def test_no_python(frame):
     df = urls.filter_pages(frame([(1, "http://net/", None, "")], PAGES), frame(RULE_ROWS, RULES))
     assert "Python" not in df._jdf.queryExecution().toString()
+
+
+BASE = "https://h.org:8/a/b?q=1#f"
+LINKS = ["http://x.org/p", "//x.org/p", "/en/7817", "page2", "../up", "./c/./d/../e", "?p=2", "", "#g", "mailto:a@b.c", "HTTPS://X.org",
+         "../../../far", "p?a=/../b", "..", "/a:b"]
+
+
+def test_links_are_resolved_against_the_page(frame):
+    from urllib.parse import urljoin
+
+    from pyspark.sql import functions as F
+
+    df = frame([(x, BASE) for x in LINKS] + [("p", "http://h.org")], "link string, base string")
+    for r in df.withColumn("to", urls.resolved(F.col("link"), F.col("base"))).collect():
+        wanted = "" if r.link in ("", "mailto:a@b.c") else urljoin(r.base, r.link)
+        if r.link == "HTTPS://X.org":
+            wanted = r.link
+        assert r.to == wanted, r
+    assert df.limit(1).select(urls.resolved(F.lit("/x"), F.lit(None).cast("string"))).first()[0] == ""
+
+
+@pytest.mark.parametrize("page", [
+    '<link rel="canonical" href="/1?a=1&amp;b=2">', "<link href='1?a=1&#38;b=2' rel = 'canonical' >", "<LINK REL=canonical HREF=//spam.net/1?a=1&b=2>",
+    "<meta http-equiv = refresh content='0; url=/1?a=1&amp;b=2'>", '<meta http-equiv="refresh" content="0;URL=\'1?a=1&b=2\'">',
+    '<link rel="canonical" href = " https://spam.net/1?a=1&amp;b=2 ">',
+])
+def test_written_links_join_their_page(frame, page):
+    rules = [("spam.net", "/1", "block")]
+    df = frame([(1, "http://spam.net/alias", page, "h"), (2, "http://spam.net/1?a=1&b=2", None, "h"), (3, "http://spam.net/2", page[:20], "h")], PAGES)
+    got = {r.page_id: r.verdict for r in urls.filter_pages(df, frame(rules, RULES)).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow"}
