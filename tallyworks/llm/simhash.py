@@ -263,10 +263,16 @@ def near_duplicates(
 def deduplicate(docs: DataFrame, width: int = 3, radius: int = 2, key: str = "doc_id") -> DataFrame:
     """Keep, of every group of near duplicates, the row with the smallest key.
 
-    Of repeated rows with that key one stays. Rows with a null key can't be
+    Rows with one key but different texts are different documents, told apart by a hash of the text;
+    of rows with the same key and text one stays. Rows with a null key can't be
     named as copies of another: they all stay.
     """
-    kept = near_duplicates(docs, width, radius, key).where(F.col(key) == F.col("component_id")).select(key).distinct()
-    one = Window.partitionBy(key).orderBy(F.xxhash64(F.lit(0), *[c for c in docs.columns if c != key]))
-    named = docs.join(kept, key, "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-    return named.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    told = F.struct(F.col(key).alias("key"), F.xxhash64("text").alias("row"))
+    named = docs.select(F.when(F.col(key).isNotNull(), told).alias("_doc"), "text")
+    kept = near_duplicates(named, width, radius, "_doc").where(F.col("_doc") == F.col("component_id"))
+    kept = kept.select(F.col("_doc.key").alias("_key"), F.col("_doc.row").alias("_hash")).distinct()
+    rows = docs.withColumn("_row", F.xxhash64("text"))
+    first = rows.join(kept, (rows[key] == kept["_key"]) & (rows["_row"] == kept["_hash"]), "left_semi")
+    one = Window.partitionBy(key, "_row").orderBy(F.xxhash64(F.lit(0), *[c for c in docs.columns if c != key]))
+    first = first.withColumn("_n", F.row_number().over(one)).where("_n = 1")
+    return first.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))

@@ -100,3 +100,10 @@ def test_components_of_a_long_path_and_a_hub(frame):
     edges = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(1001, 1100)] + [(5, 5), (None, 3), (70, 71), (71, 70)]
     got = {r.node: r.root for r in components(frame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {i: 0 for i in range(61)} | {i: 1000 for i in range(1000, 1100)} | {70: 70, 71: 70}
+
+
+def test_rows_that_share_a_key_but_not_a_text(frame):
+    own = ["red fox jumps over seven walls", "nine grey owls watch the quiet lake", "some bread and salt on an old table"]
+    rows = [(1, t) for t in own] + [(2, t) for t in own] + [(1, own[0])] + [(3, "a far away tune that nobody else sings")]
+    kept = simhash.deduplicate(frame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == sorted([(1, t) for t in own] + [rows[-1]])
