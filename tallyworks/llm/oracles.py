@@ -148,6 +148,62 @@ select doc_id, cast(size as bigint) as size, s as source_size, target,
 from queued join shared on queued.source is not distinct from shared.source
 """
 
+_OP12_START = r"""
+with vectors as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64
+), parts as (select r, unnest(v) as x, unnest(range(64)) as i from vectors),
+c0 as (
+  select row_number() over (order by sha256('2:' || vec_id), v) - 1 as c, v from vectors
+  order by sha256('2:' || vec_id), v limit 40
+)"""
+
+_OP12_ASSIGN = """, d{n} as (
+  select r, c, sum((x - y) * (x - y)) as d
+  from parts join (select c, unnest(v) as y, unnest(range(64)) as i from c{n}) using (i) group by r, c
+), a{n} as (select r, arg_min(c, (d, c)) as c, min(d) as d from d{n} group by r)"""
+
+_OP12_MOVE = """, c{m} as (
+  select c{n}.c, coalesce(m.v, c{n}.v) as v from c{n} left join (
+    select c, list(y order by i) as v from (
+      select c, i, cast(floor(sum(x) / count(*)) as bigint) as y from parts join a{n} using (r) group by c, i
+    ) group by c
+  ) m on m.c = c{n}.c
+)"""
+
+_OP12 = _OP12_START + "".join(
+    _OP12_ASSIGN.format(n=n) + (_OP12_MOVE.format(n=n, m=n + 1) if n < 5 else "") for n in range(6)
+) + """
+select vec_id, cast(c as integer) as cluster, cast(d as bigint) as distance,
+  cast(sum(d) over (partition by c) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+  sha256(array_to_string(c5.v, ',')) as centroid_sha256
+from a5 join vectors using (r) join c5 using (c)
+"""
+
+_OP13 = r"""
+with docs as (
+  select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents
+), drawn as (
+  select doc_id, t, length(t) as n, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2,
+    cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4
+  from docs
+), cuts as (
+  select doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when n = 0 or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+         when h4 % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn
+)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars,
+  case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form
+    when 'plain' then t
+    when 'psm' then '<P>' || substring(t, 1, a) || '<S>' || substring(t, b + 1) || '<M>' || substring(t, a + 1, b - a)
+    else '<S>' || substring(t, b + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, b - a)
+  end) as output_sha256, sha256(t) as restored_sha256
+from cuts
+"""
+
 ORACLES = {
     "op1_chat_formatting": _OP1,
     "op2_decontamination": _OP2,
@@ -155,4 +211,6 @@ ORACLES = {
     "op6_line_dedup": _OP6,
     "op7_url_filters": _OP7,
     "op10_mixing": _OP10,
+    "op12_centroid_clustering": _OP12,
+    "op13_fill_in_middle": _OP13,
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyworks.llm import chat, decontaminate, langid, lines, mixing, neighbours, quality, simhash, substrings, urls
+from tallyworks.llm import (
+    centroids, chat, decontaminate, infill, langid, lines, mixing, neighbours, packing, quality, simhash, substrings, urls,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,6 +79,29 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut into token pieces, and where each lies in the packed sequences."""
+    import public_tokenizers
+
+    pieces = packing.cut(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.place(digests, capacity=2048)
+
+
+def op12_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(_table(spark, folder, "embeddings"), k=40, rounds=5, seed=2, width=64).drop("scans")
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document cut and reordered; its text is rebuilt from what was written."""
+    made = infill.fill_in_middle(_table(spark, folder, "documents"), seed=1, rate=90, spm_rate=20)
+    digest = lambda c: F.sha2(c.cast("binary"), 256)
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
+        digest(infill.restored()).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """The five stages of ``corpus_pipeline.py`` one after another."""
     import corpus_pipeline
@@ -88,6 +113,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_chat_formatting, op2_decontamination, op3_language_id, op4_simhash, op5_substring_dedup, op6_line_dedup,
-        op7_url_filters, op8_nearest_neighbours, op9_quality_classifier, op10_mixing, pipeline,
+        op7_url_filters, op8_nearest_neighbours, op9_quality_classifier, op10_mixing,
+        op11_best_fit_packing, op12_centroid_clustering, op13_fill_in_middle, pipeline,
     )
 }

@@ -44,6 +44,22 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def alternating(spark: SparkSession, name: str):
+    """A function like ``save`` for a state that replaces itself: it writes to two tables in turn.
+
+    A state may be made from the one written before it, and from nothing older: that is overwritten.
+    """
+    paths = [f"{shared_folder(spark).rstrip('/')}/tallyworks/{name}-{uuid.uuid4().hex}-{i}" for i in range(2)]
+
+    def write(df: DataFrame) -> DataFrame:
+        path = paths[0]
+        paths.reverse()
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return write
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Have the session hand Python no more than ``BATCH_ROWS`` texts at a time."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

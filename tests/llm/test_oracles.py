@@ -8,7 +8,8 @@ from tests.conftest import SMALL
 from tests.oracle_check import compare, oracle_connection
 
 FITTED = {
-    "op3_language_id", "op4_simhash", "op8_nearest_neighbours", "op9_quality_classifier", "pipeline",
+    "op3_language_id", "op4_simhash", "op8_nearest_neighbours", "op9_quality_classifier",
+    "op11_best_fit_packing", "pipeline",
 }
 
 
