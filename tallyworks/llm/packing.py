@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -23,14 +24,18 @@ CAPACITY = 2048
 END_ID = 0
 
 #: How many runs between blanks, and parts of them, a worker remembers, each of at most so many characters.
-REMEMBERED, REMEMBERED_CHARS = 200_000, 64
+REMEMBERED, REMEMBERED_CHARS = 500_000, 64
 
 #: The rule by which tokenizers of words drop white space and split lower-cased text.
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-#: Printable ASCII, and the same rule for it once it is lower-cased.
-PLAIN = re.compile(r"[!-~]+")
-PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+#: Printable ASCII, the accented letters of Latin-1 and four signs, in which no character composes with another one;
+#: and the same rule for them once they are lower-cased.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff\u00a1\u00ab\u00bb\u00bf]+")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+
+#: How byte-level models write bytes: printable ones of Latin-1 as they are, the others as the characters from 256 on, in order.
+BYTE_MARKS = {b: 256 + n for n, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 
 #: Pieces of an output batch hold so many ids at most, but for a single longer one.
 BATCH_IDS = 2_000_000
@@ -40,7 +45,8 @@ class Encoder:
     """Ids of texts as bytes, little-endian unsigned 32-bit numbers.
 
     A tokenizer that lower-cases and splits by ``WORD_RULE`` has no token across a blank. Runs between blanks are then
-    encoded on their own, those of printable ASCII part by part, and looked up when they come again. Texts go whole to any other tokenizer.
+    encoded on their own and looked up when they come again; those of plain characters are split here and go part by part to the
+    tokenizer's model. Texts go whole to any other tokenizer.
     """
 
     def __init__(self, definition: str):
@@ -48,6 +54,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         parts = json.loads(definition)
         steps = [s["type"] for s in (parts.get("normalizer") or {}).get("normalizers", [])]
         splits = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
@@ -56,36 +63,50 @@ class Encoder:
         self.runs: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in encoded]
+    def encode(self, text: str) -> bytes:
+        return _as_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def ids(self, text: str) -> bytes:
         if not self.by_runs:
-            return self.encode([text])[0]
+            return self.encode(text)
         for memory in (self.runs, self.parts):
             if len(memory) > REMEMBERED:
                 memory.clear()
         runs = text.replace("\n", " ").replace("\t", " ").split(" ")
-        missing = set(runs).difference(self.runs)
-        if missing:
-            self._learn(missing)
-        out = b"".join(map(self.runs.__getitem__, runs))
-        self._forget(self.runs, missing)
+        found = list(map(self.runs.get, runs))
+        if None in found:
+            for at, ids in enumerate(found):
+                if ids is None:
+                    found[at] = self.runs.get(runs[at]) or self._run(runs[at])
+        return b"".join(found)
+
+    def _run(self, run: str) -> bytes:
+        """Ids of a new run; parts of plain characters go to the tokenizer's model as their bytes."""
+        if not PLAIN.fullmatch(run):
+            out = self.encode(run)
+        else:
+            out = b"".join([self.parts.get(p) or self._part(p) for p in PARTS.findall(run.lower())])
+        if len(run) <= REMEMBERED_CHARS:
+            self.runs[run] = out
         return out
 
-    def _learn(self, runs: set[str]) -> None:
-        split = {r: PARTS.findall(r.lower()) if PLAIN.fullmatch(r) else [r] for r in runs}
-        new = list({p for parts in split.values() for p in parts}.difference(self.parts))
-        self.parts.update(zip(new, self.encode(new)))
-        self.runs.update((r, b"".join(map(self.parts.__getitem__, parts))) for r, parts in split.items())
-        self._forget(self.parts, new)
+    def _part(self, part: str) -> bytes:
+        written = part if part.isascii() else part.encode().decode("latin-1").translate(BYTE_MARKS)
+        ids = _as_bytes([t.id for t in self.model.tokenize(written)])
+        if len(part) <= REMEMBERED_CHARS:
+            self.parts[part] = ids
+        return ids
+
+
+def _as_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
 
-    @staticmethod
-    def _forget(memory: dict[str, bytes], names) -> None:
-        for name in names:
-            if len(name) > REMEMBERED_CHARS:
-                del memory[name]
+def encoder_of(definition) -> Encoder:
+    """The encoder of a broadcast tokenizer file: one for each worker process, which outlives the worker's tasks."""
+    if not hasattr(definition, "encoder"):
+        definition.encoder = Encoder(definition.value)
+    return definition.encoder
 
 
 def cut(
@@ -114,7 +135,7 @@ def cut(
     end, step, most = np.asarray([end_id], dtype="<u4").tobytes(), 4 * capacity, BATCH_IDS
 
     def encoding(batches: Iterator[pa.RecordBatch]):
-        encoder = Encoder(definition.value)
+        encoder = encoder_of(definition)
         for batch in batches:
             keys, texts = batch.columns
             at, piece, start, ids, held = [], [], [], [], 0

@@ -1,3 +1,4 @@
+import functools
 import random
 import zlib
 from bisect import bisect_left, insort
@@ -6,6 +7,8 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -91,6 +94,25 @@ def test_ids_equal_the_tokenizer(frame, path):
     assert all(r.length == len(r.ids) // 4 for r in got)
 
 
+def test_every_plain_character(frame):
+    plain = [chr(c) for c in range(33, 0x250)]
+    texts = [f"a{c}b {c}{c} {c}'s {c}\u0301 X{c}1é{c.upper()}" for c in plain] + ["".join(plain)]
+    encoder = packing.Encoder(Path(WORDS).read_text())
+    assert [np.frombuffer(encoder.ids(t), "<u4").tolist() + [0] for t in texts] == ids_by_hand(WORDS, texts)
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.text(alphabet="aAzé ÉßÀ\u0301ÿ¿×÷µª'sST1.²", max_size=30))
+def test_ids_of_any_run(text):
+    encoder = packing.Encoder(definition_of_words())
+    assert np.frombuffer(encoder.ids(text), "<u4").tolist() + [0] == ids_by_hand(WORDS, [text])[0]
+
+
+@functools.cache
+def definition_of_words():
+    return Path(WORDS).read_text()
+
+
 def test_memory_of_runs_is_emptied(monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 50)
     encoder = packing.Encoder(Path(WORDS).read_text())
