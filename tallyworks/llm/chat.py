@@ -14,7 +14,8 @@ from tallyworks.llm.store import save, small_batches
 #: The template, and the control strings of this and other templates that texts must not contain as such.
 ROLE, TEXT, END = "<|role|>", "<|text|>", "<|end|>\n"
 CONTROL = ["<|", "|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
-ESCAPED = re.compile("|".join(map(re.escape, ["\\", *CONTROL])))
+#: ``<|>`` goes first: its two control strings share a character, so it is broken in two places.
+ESCAPED = re.compile("|".join(map(re.escape, ["\\", "<|>", *CONTROL])))
 TURN = re.compile(f"{re.escape(ROLE)}(.*?){re.escape(TEXT)}(.*?){re.escape(END)}", re.DOTALL)
 
 #: A conversation is written in pieces of about so many characters, cut between turns.
@@ -27,7 +28,14 @@ FORMATTED = (
 
 def escape(text: str) -> str:
     """Break control strings with a backslash after their first character; double backslashes."""
-    return ESCAPED.sub(lambda m: "\\\\" if m[0] == "\\" else m[0][0] + "\\" + m[0][1:], text)
+    return ESCAPED.sub(_broken, text)
+
+
+def _broken(match: re.Match) -> str:
+    found = match[0]
+    if found == "\\":
+        return "\\\\"
+    return "<\\|\\>" if found == "<|>" else found[0] + "\\" + found[1:]
 
 
 def unescape(text: str) -> str:

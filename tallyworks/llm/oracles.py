@@ -12,7 +12,8 @@ select conv_id, count(*) as n_turns,
   sha256(coalesce(string_agg(text, '' order by turn, text) filter (role = 'assistant'), '')) as loss_sha256,
   cast(sum(length(role) + length(text) + length('<|role|><|text|><|end|>') + 1
     + len(regexp_extract_all(role || chr(1) || text,
-        '\\|<\||\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'))) as bigint) as formatted_chars
+        '\\|<\|>|<\||\|>|<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>'))
+    + len(regexp_extract_all(role || chr(1) || text, '<\|>'))) as bigint) as formatted_chars
 from rows group by conv_id
 """
 

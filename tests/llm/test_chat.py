@@ -1,3 +1,4 @@
+import itertools
 import hashlib
 
 import pytest
@@ -11,6 +12,17 @@ from tests.conftest import SMALL
 NODES = "tree_id long, node_id long, parent_id long, score double, role string, text string"
 
 
+def test_every_short_run_of_control_pieces():
+    """All strings of up to 5 pieces of the control alphabet."""
+    pieces = ["<", "|", ">", "\\", "/", "s", "[INST]", "[/INST]", "<s>", "SYS"]
+    for n in range(1, 6):
+        for parts in itertools.product(pieces, repeat=n):
+            text = "".join(parts)
+            hidden = chat.escape(text)
+            assert chat.unescape(hidden) == text
+            assert not any(c in hidden for c in chat.CONTROL), (text, hidden)
+
+
 @given(st.text(alphabet="\\<|>s/[]INTSYendrolx\n ", max_size=40))
 def test_escape_is_reversible_and_leaves_no_control_string(text):
     hidden = chat.escape(text)
