@@ -49,21 +49,23 @@ def targets(sizes: DataFrame, most: int = MOST_REPEATS) -> DataFrame:
 
 def cycling_weights(sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """Add ``weight``: the numbers of ``cycle`` dealt to the sources in code point order, null last."""
-    ordered = sources.withColumn("_last", F.col("source").isNull().cast("int")).withColumn("_one", F.lit(1))
-    placed = running(ordered, [], ["_last", "source"], "_one", "_rank")
-    weight = F.element_at(F.array(*map(F.lit, cycle)), (F.col("_rank") % len(cycle) + 1).cast("int"))
-    return placed.withColumn("weight", weight).select(*sources.columns, "weight")
+    return _dealt(sources, weight=cycle)
 
 
 def cycling_schedule(
     sources: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), tilts: tuple[float, ...] = (-0.6, 0.0, 0.6, 0.3, -0.3)
 ) -> DataFrame:
     """``cycling_weights`` and ``tilt``: how each source's weight falls or rises over time, dealt in the same order."""
-    tilted = cycling_weights(sources, tuple(range(len(tilts)))).withColumnRenamed("weight", "_at")
-    weighted = cycling_weights(sources, cycle)
-    tilt = F.element_at(F.array(*map(F.lit, tilts)), (F.col("_at") + 1).cast("int")).alias("tilt")
-    return weighted.join(tilted, same(weighted, tilted, ["source"])).select(
-        *[weighted[c] for c in weighted.columns], tilt
+    return _dealt(sources, weight=cycle, tilt=tilts)
+
+
+def _dealt(sources: DataFrame, **cycles: tuple) -> DataFrame:
+    """Columns whose values are dealt in turn to the sources, which are ranked once."""
+    ordered = sources.withColumn("_last", F.col("source").isNull().cast("int")).withColumn("_one", F.lit(1))
+    placed = running(ordered, [], ["_last", "source"], "_one", "_rank")
+    at = lambda cycle: (F.col("_rank") % len(cycle) + 1).cast("int")
+    return placed.select(
+        *sources.columns, *[F.element_at(F.array(*map(F.lit, c)), at(c)).alias(n) for n, c in cycles.items()]
     )
 
 
@@ -97,6 +99,7 @@ def plan(docs: DataFrame, weights=cycling_weights, most: int = MOST_REPEATS, key
         docs.select(
             key, "source", n_words("text").alias("size"), tilt.alias("_tilt"),
             F.md5(F.col(key).cast("string").cast("binary")).alias("_order"),
+            F.monotonically_increasing_id().alias("_row"),
         ),
         "sized",
     )
@@ -113,23 +116,19 @@ def plan(docs: DataFrame, weights=cycling_weights, most: int = MOST_REPEATS, key
         lambda p: (F.col("size") > 0) & (p * F.col("source_size") + F.col("_before") < F.col("target")),
     )
     when = lambda p: position((p * F.col("source_size") + F.col("_before")) / F.col("target"), F.col("_tilt"))
-    timed = save(joined.select(
-        key, "source", "size", "source_size", "target", "_before", F.transform(passes, when).alias("_positions")
-    ), "timed")
-    copies = timed.select(
-        key, "source", "size", "_before", F.posexplode("_positions").alias("_pass", "position")
-    ).withColumn("_one", F.lit(1))
-    # of documents with words, the words before it tell a document from the others of its source
-    placed = running(copies, [], ["position", key, "source", "_pass"], "_one", "_place").groupBy("source", "_before").agg(
-        F.sum("size").alias("_taken"), F.sort_array(F.collect_list(F.struct("_pass", "position", "_place"))).alias("_copies")
-    )
-    met = same(timed, placed, ["source", "_before"]) & (timed["size"] > 0)
-    part = lambda field: F.coalesce(F.transform("_copies", lambda c: c[field]), F.array()).alias
-    return timed.join(placed, met, "left").select(
-        key, timed["source"], "size", "source_size", "target",
-        F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"),
-        part("position")("positions"), part("_place")("places"),
+    known = [key, "source", "size", "source_size", "target"]
+    copies = joined.select("_row", *known, F.posexplode_outer(F.transform(passes, when)).alias("_pass", "_position"))
+    # a document never taken is one row without a position, after all copies
+    copies = copies.withColumn("_one", F.col("_position").isNotNull().cast("int")).withColumn("_none", 1 - F.col("_one"))
+    order = ["_none", "_position", key, "source", "_pass"]
+    placed = running(copies, [], order, "_one", "_place")
+    copy = F.when(F.col("_one") == 1, F.struct("_pass", "_position", "_place"))
+    whole = placed.groupBy("_row").agg(
+        *[F.first(c).alias(c) for c in known], F.sum(F.col("size") * F.col("_one")).cast("long").alias("taken"),
+        F.sort_array(F.collect_list(copy)).alias("_copies"),
     )
+    part = lambda field: F.transform("_copies", lambda c: c[field])
+    return whole.select(*known, "taken", part("_position").alias("positions"), part("_place").alias("places"))
 
 
 def mix(docs: DataFrame, weights=cycling_weights, most: int = MOST_REPEATS, key: str = "doc_id") -> DataFrame:
