@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyworks.llm.rows import packed, unpacked
 from tallyworks.llm.store import save, small_batches
 
 #: Windows of test items that are broadcast at once (about 500 bytes each in a worker).
@@ -128,14 +129,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "te
     more scan of the texts, whose findings are joined row by row: documents
     are never shuffled. Null or empty text has no words; an item without words has
     no window; hits of an item without id count, but name no item. Rows
-    repeated stay repeated.
+    repeated stay repeated. Texts of any length are scanned whole. Columns of ``docs`` named like one of the three added are replaced;
+    all others stay as they are.
     """
     spark = docs.sparkSession
     windows = save(benchmark_windows(benchmark, width), "windows")
     blocks = max(1, math.ceil(windows.count() / block * (1.1 if windows.count() > block else 1)))
-    plain = [c for c in docs.columns if c not in ("n_words", "hits", "items")]
-    out = small_batches(docs).select(
-        *plain,
+    out = small_batches(packed(docs, text)).select(
+        "*",
         F.col(text).cast("binary").alias("_raw"),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<start:int,end:int>>").alias("hits"),
@@ -145,7 +146,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "te
         part = windows.where(F.pmod(F.xxhash64("gram", "item"), F.lit(blocks)) == b)
         grams = spark.sparkContext.broadcast([(bytes(r.gram), r.item) for r in part.collect()])
         out = _scan_block(out if b == 0 else save(out, "scanned"), grams)
-    return out.drop("_raw")
+    added = ("n_words", "hits", "items")
+    return out.select(*unpacked(docs, text, without=added), *added)
 
 
 def _scan_block(docs: DataFrame, grams) -> DataFrame:
@@ -192,13 +194,13 @@ def flag(docs: DataFrame, benchmark: DataFrame, width: int = 10, key: str = "doc
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
-    """Rows of ``docs`` in which no test window occurs."""
-    return scan(docs, benchmark, width).where(F.size("hits") == 0).select(*docs.columns)
+    """Rows of ``docs`` in which no test window occurs, with all their columns."""
+    return scan(packed(docs, "text"), benchmark, width).where(F.size("hits") == 0).select(*unpacked(docs, "text"))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: str = "text") -> DataFrame:
     """Cut the hit stretches out of the texts; what separates the words around them stays."""
-    found = scan(docs, benchmark, width, text)
+    found = scan(packed(docs, text), benchmark, width, text)
     schema = found.schema
 
     def cutting(batches):
@@ -210,7 +212,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = 10, text: s
             arrays = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
 
-    return found.mapInArrow(cutting, schema).select(*docs.columns)
+    return found.mapInArrow(cutting, schema).select(*unpacked(docs, text))
 
 
 def cut(text: str, stretches: list[tuple[int, int]]) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyworks.llm.rows import CALLER, packed, unpacked
 from tallyworks.llm.store import save
 
 #: A repeated run has two lines at least, or one line of so many words.
@@ -91,9 +92,10 @@ def _alone(a: Column) -> Column:
 
 
 def deduplicate_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", long_words: int = LONG_WORDS
+    docs: DataFrame, key: str = "doc_id", text: str = "text", long_words: int = LONG_WORDS, counts: bool = True
 ) -> DataFrame:
-    """Delete later occurrences of repeated runs of lines; adds ``n_lines`` and ``n_removed``.
+    """Delete later occurrences of repeated runs of lines; with ``counts`` adds ``n_lines`` and ``n_removed``, which
+    replace columns of these names. All other columns stay as they are, whatever their names.
 
     Every row stays, also one that loses all its lines (its text is then empty).
     Every row loses its own lines only: rows that share a key, or have none (these come first in order), are told apart
@@ -110,12 +112,11 @@ def deduplicate_lines(
         ),
         "fates",
     )
-    rows = docs.withColumn("_row", _hash(F.col(text)))
+    rows = packed(docs, key, text).withColumn("_row", _hash(F.col(text)))
     # the fates grow with the rows: the same join at every size
     joined = rows.join(fates.hint("merge"), _met(rows, fates, key), "left").where("_n is null or _n = 1")
     copies = fates.where("_n > 1")
-    others = [c for c in docs.columns if c != text]
-    turn = F.row_number().over(Window.partitionBy(key, "_row").orderBy(F.xxhash64(F.lit(0), *others)))
+    turn = F.row_number().over(Window.partitionBy(key, "_row").orderBy(F.xxhash64(F.lit(0), CALLER)))
     marked, at = _marked(text, long_words), lambda s: s["at"]
     # all lines of a later copy belong to units of the first, but a short line alone
     again = F.when((F.size(marked) > 1) | F.exists(marked, lambda s: s["long"]), F.transform(marked, at))
@@ -126,12 +127,15 @@ def deduplicate_lines(
     lines = F.split(F.col(text), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
     n_lines = F.coalesce(F.size(F.filter(lines, lambda line: F.trim(line) != "")), F.lit(0)).cast("long")
-    return joined.select(
-        *others,
-        F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text),
+    made = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text)
+    done = joined.select(
+        key, CALLER, made,
         F.when(F.col(text).isNull(), F.lit(0).cast("long")).otherwise(n_lines).alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
+    if not counts:
+        return done.select(*unpacked(docs, key, text))
+    return done.select(*unpacked(docs, key, without=(text, "n_lines", "n_removed")), text, "n_lines", "n_removed")
 
 
 def _met(rows: DataFrame, fates: DataFrame, key: str) -> Column:

@@ -6,12 +6,14 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, BinaryType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
+from tallyworks.llm.rows import packed, unpacked
 from tallyworks.llm.store import save, small_batches
 
 #: Labelled rows the classifiers are fitted on. Unlabelled rows teach them all.
@@ -26,6 +28,9 @@ PASSES = 16
 #: Gradients are added up in whole multiples of this: sums don't depend on how rows are dealt.
 GRAIN = 2.0**-20
 
+#: Sums of the tasks are added up in so many rows at most before they go to the driver.
+LANES = 64
+
 #: A document is kept if the combined views give it at least this probability of being good.
 THRESHOLD = 0.5
 
@@ -202,11 +207,12 @@ def class_sums(unlabelled: DataFrame, widths: list[int], frozen: list, ahead: li
                         part += [own.gathered(n), [n.sum()], [sure.sum()]]
             total = np.concatenate(part) + (total if total.size else 0.0)
         if total.size:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+            lane = pa.array([TaskContext.get().partitionId() % LANES])
+            yield pa.RecordBatch.from_arrays([lane, pa.array([total.tobytes()], pa.binary())], names=["lane", "sums"])
 
     size = sum(2 * (2 * (width + 1) + 1 if curved else width + 1) for width in widths)
     total = np.zeros(size)
-    for row in unlabelled.mapInArrow(summing, "sums binary").collect():
+    for row in added_up(unlabelled.mapInArrow(summing, "lane long, sums binary")).collect():
         total += np.frombuffer(row["sums"])
     out, at = [], 0
     for width in widths:
@@ -221,6 +227,23 @@ def class_sums(unlabelled: DataFrame, widths: list[int], frozen: list, ahead: li
     return out
 
 
+def added_up(sums: DataFrame) -> DataFrame:
+    """Rows ``lane, sums`` added up by Spark: ``LANES`` rows at most, however many tasks there were.
+
+    Sums are whole numbers that a double holds, so it does not matter in which order they are added.
+    """
+
+    def adding(batches):
+        total = np.zeros(0)
+        for batch in batches:
+            for value in batch.column("sums"):
+                total = np.frombuffer(value.as_buffer()) + (total if total.size else 0.0)
+        if total.size:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    return sums.repartition("lane").mapInArrow(adding, "sums binary")
+
+
 def learn_further(views: list[View], known: list[Sparse], y: np.ndarray, unlabelled: DataFrame, penalty: float = 1.0):
     """A round of exchange: each view goes on learning from its labelled rows and every document of which the other is sure.
 
@@ -311,9 +334,11 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     at most about ``LABELLED_ROWS`` labelled documents, picked by a hash of their key, and on all unlabelled ones.
     Spark makes their features and picks the vocabulary; the driver gets the feature numbers of labelled ones and,
     for all others, sums per task. Every document is scored, with its whole text. Null and empty texts are scored by
-    their metadata. Without labels of both classes everything stays, with score 1.
+    their metadata, texts of any length whole. Rows that share a key are drawn and scored one by one; a repeated row teaches once. Documents
+    on a tie of both classes stay (``THRESHOLD`` and above). Without labels of both classes everything stays, with score 1.
     """
-    scored = _scored(docs, labels, key, [key])
+    used = [c for c in docs.columns if c in (key, "text", "source", "lang")]
+    scored = _scored(docs.select(*used), labels, key, [key])
     return scored.select(key, F.col("_score").alias("score"), (F.col("_score") >= THRESHOLD).alias("keep"))
 
 
@@ -323,16 +348,21 @@ def _scored(docs: DataFrame, labels: DataFrame, key: str, carry: list[str]) -> D
     judged = labels.where("quality is not null and toxic is not null").groupBy(F.col(key).alias("_id")).agg(
         F.min(good).alias("good")
     )
-    place = F.pmod(F.xxhash64(key, F.lit(1)), F.lit(1 << 20))
-    ids = docs.select(key).where(F.col(key).isNotNull())
-    tagged = save(ids.join(judged, ids[key] == judged["_id"]).groupBy(key).agg(F.min("good").alias("good")), "tagged")
+    place = F.pmod(F.xxhash64(key, "_text", F.lit(1)), F.lit(1 << 20))
+    texts = F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_text")
+    ids = docs.select(key, texts).where(F.col(key).isNotNull())
+    tagged = ids.join(judged, ids[key] == judged["_id"]).groupBy(key, "_text").agg(F.min("good").alias("good"))
+    tagged = save(tagged, "tagged")
     share = min(1.0, LABELLED_ROWS / max(1, tagged.count()))
-    drawn = tagged.where(place < int(share * (1 << 20)))
-    rows = docs.join(F.broadcast(drawn.withColumnRenamed(key, "_id")), F.col(key) == F.col("_id"))
+    drawn = tagged.where(place < int(share * (1 << 20))).withColumnRenamed(key, "_id")
+    # rows, not keys, are drawn, and a repeated row is one: what goes to the driver is bounded
+    rows = docs.select("*", texts).join(
+        F.broadcast(drawn.withColumnRenamed("_text", "_drawn")), (F.col(key) == F.col("_id")) & (F.col("_text") == F.col("_drawn"))
+    ).dropDuplicates([key, "_text"])
     if rows.limit(1).count() == 0:
         return docs.select(*carry, F.lit(1.0).alias("_score"))
     sample = _views(rows.select(*docs.columns), key)
-    told = drawn.select(F.col(key).alias("_id"), "good")
+    told = drawn.select("_id", "good").distinct()
 
     def featured(batches):
         for batch in batches:
@@ -422,4 +452,6 @@ def _scored(docs: DataFrame, labels: DataFrame, key: str, carry: list[str]) -> D
 
 def filter_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that the classifier keeps. Texts are scored and filtered where they are, without a shuffle."""
-    return _scored(docs, labels, key, docs.columns).where(F.col("_score") >= THRESHOLD).select(*docs.columns)
+    used = [c for c in docs.columns if c in (key, "text", "source", "lang")]
+    rows = packed(docs, *used)
+    return _scored(rows, labels, key, rows.columns).where(F.col("_score") >= THRESHOLD).select(*unpacked(docs, *used))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyworks.llm.components import components
+from tallyworks.llm.rows import CALLER, packed, unpacked
 from tallyworks.llm.store import save, small_batches
 
 #: Seed of the shingle hash.
@@ -265,14 +266,14 @@ def deduplicate(docs: DataFrame, width: int = 3, radius: int = 2, key: str = "do
 
     Rows with one key but different texts are different documents, told apart by a hash of the text;
     of rows with the same key and text one stays. Rows with a null key can't be
-    named as copies of another: they all stay.
+    named as copies of another: they all stay. All columns stay, whatever their names.
     """
     told = F.struct(F.col(key).alias("key"), F.xxhash64("text").alias("row"))
     named = docs.select(F.when(F.col(key).isNotNull(), told).alias("_doc"), "text")
     kept = near_duplicates(named, width, radius, "_doc").where(F.col("_doc") == F.col("component_id"))
     kept = kept.select(F.col("_doc.key").alias("_key"), F.col("_doc.row").alias("_hash")).distinct()
-    rows = docs.withColumn("_row", F.xxhash64("text"))
+    rows = packed(docs, key, "text").withColumn("_row", F.xxhash64("text"))
     first = rows.join(kept, (rows[key] == kept["_key"]) & (rows["_row"] == kept["_hash"]), "left_semi")
-    one = Window.partitionBy(key, "_row").orderBy(F.xxhash64(F.lit(0), *[c for c in docs.columns if c != key]))
+    one = Window.partitionBy(key, "_row").orderBy(F.xxhash64(F.lit(0), CALLER))
     first = first.withColumn("_n", F.row_number().over(one)).where("_n = 1")
-    return first.select(*docs.columns).unionByName(docs.where(F.col(key).isNull()))
+    return first.select(*unpacked(docs, key, "text")).unionByName(docs.where(F.col(key).isNull()))

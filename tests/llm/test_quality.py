@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tallyworks.llm import quality
+from tests.conftest import SMALL
 
 DOCS = "doc_id long, text string, source string, lang string, score int, keep string"
 LABELS = "doc_id long, quality int, toxic int"
@@ -124,3 +125,29 @@ def test_sums_hold_every_sure_document(frame):
         assert (bad["n"], good["n"]) == (7, 5000)
         assert good["gradient"].tolist() == [-2500, 0, -2500] and bad["gradient"].tolist() == [0, 3.5, 3.5]
         assert good["curvature"].tolist() == [10000, 0, 10000] and bad["curvature"].tolist() == [0, 14, 14]
+
+
+def test_sums_are_added_up_before_the_driver(spark):
+    """However many tasks there are, a bounded number of rows goes to the driver, and the sums are the same."""
+    rows = [(i % quality.LANES, np.full(5, float(i)).tobytes()) for i in range(300)]
+    many = spark.createDataFrame(rows, "lane long, sums binary").repartition(300)
+    got = quality.added_up(many).collect()
+    assert 0 < len(got) <= quality.LANES
+    assert sum(np.frombuffer(r["sums"]) for r in got).tolist() == [300 * 299 / 2] * 5
+    assert quality.added_up(many.limit(0)).collect() == []
+
+
+def test_rows_not_keys_are_drawn(spark, monkeypatch):
+    """A labelled key repeated very often teaches as a bounded number of rows."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    hot = labels.where("quality = 1 and toxic = 0").first().doc_id
+    copies = spark.range(3000).selectExpr(f"cast({hot} as bigint) as doc_id", "'a good text of words ' || id as text",
+                                          "'en' as lang", "'src0' as source", "cast(9 as bigint) as n_chars")
+    seen = []
+    monkeypatch.setattr(quality, "LABELLED_ROWS", 150)
+    real = quality.co_train
+    monkeypatch.setattr(quality, "co_train", lambda words, fitted, rest: seen.append(len(fitted)) or real(words, fitted, rest))
+    got = quality.score(docs.unionByName(copies), labels).collect()
+    assert len(got) == docs.count() + 3000
+    assert 0 < seen[0] < 300
