@@ -20,7 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later occurrences of repeated runs of lines; ``n_chars`` follows the text."""
-    kept = lines.deduplicate_lines(docs).select(*docs.columns)
+    kept = lines.deduplicate_lines(docs, counts=False)
     changed = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return kept.withColumn("n_chars", changed) if "n_chars" in docs.columns else kept
 
