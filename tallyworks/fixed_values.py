@@ -127,6 +127,7 @@ MIN_DOCUMENTS = 2
 MAX_DOCUMENT_SHARE = 0.5
 MAX_TERMS = 15_000
 LONGEST_NGRAM = 4
+NEIGHBOURS = 5
 TEST_SHARE = 0.3
 FOREST_TREES = 500
 RIDGE_PENALTY = 1.0

@@ -776,6 +776,32 @@ oracle(
       select Outcome, row_number() over (order by md5(doc_id || '|0')) <= ceil(0.3 * count(*) over ()) as held from notes
     ) select Outcome, count(*) as n, count(*) as labelled from parted where held group by 1""",
 )
+# every held-out text against every training text
+oracle(
+    "knn_votes",
+    f"""with {_GRAMS}, parts as (
+      select doc_id, quality, row_number() over (order by md5(doc_id || '|0')) <= ceil(0.3 * count(*) over ()) as held
+      from documents join labels using (doc_id)
+    ), counted as (
+      select term, count(distinct doc_id) as documents, count(*) as occurrences
+      from grams join parts using (doc_id) where not held group by term
+    ), vocabulary as (
+      select term, ln((n + 1) / (documents + 1)::double) + 1 as idf
+      from counted, (select count(*) as n from parts where not held) where documents >= 2 and documents <= 0.5 * n
+      order by occurrences desc, term limit 15000
+    ), raw as (
+      select doc_id, held, term, count(*) * any_value(idf) as w
+      from grams join parts using (doc_id) join vocabulary using (term) group by all
+    ), unit as (select doc_id, held, term, w / sqrt(sum(w * w) over (partition by doc_id)) as w from raw),
+    pairs as (
+      select q.doc_id as query, d.doc_id, round(sum(q.w * d.w), 9) as s
+      from unit q join unit d using (term) where q.held and not d.held group by all
+    ), best as (
+      select *, row_number() over (partition by query order by s desc, doc_id) as r from pairs qualify r <= 5
+    ), tally as (select query, quality, count(*) as n from best join parts using (doc_id) group by all)
+    select query as doc_id, arg_min(quality, (-n, quality)) as prediction, max(n) as votes, sum(n)::bigint as voters
+    from tally group by query""",
+)
 _SIDE = "(Outcome = 'Successful')::int::double"
 oracle(
     "corr_with_outcome",

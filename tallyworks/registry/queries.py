@@ -730,6 +730,12 @@ def accuracy(t):
     )
 
 
+@query("knn_votes")
+def knn_votes(t):
+    """The label that most of the five nearest training texts have, for every held-out text."""
+    return notes.neighbour_votes(t.documents.join(t.labels, "doc_id"), "doc_id", "text", "quality")
+
+
 def _scored(t, kind, **options):
     prepared = notes.prepare(t.raw_notes())
     scored = notes.hold_out(prepared, "doc_id", kind, **options)
