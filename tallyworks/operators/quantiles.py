@@ -13,6 +13,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tallyworks.operators import cells
 from tallyworks.operators.aggregates import as_number, level_table, melt
 
 QUARTILES = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
@@ -153,12 +154,18 @@ def quartiles_by(df: DataFrame, keys: Sequence[str], column: str, accuracy: int
     return exact_quantiles(df, keys, [column], names, accuracy=accuracy).drop("column")
 
 
-def describe(df: DataFrame, columns: Sequence[str], approx: bool = False, accuracy: int = 10_000) -> DataFrame:
+def describe(
+    df: DataFrame, columns: Sequence[str], approx: bool = False, accuracy: int = 10_000, brackets: bool = False
+) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum per column.
 
-    ``approx=True`` takes the quartiles from the sketch, which saves a pass. A
+    Cells of all columns are counted at once, step by step (``cells.profile``). ``brackets=True`` takes the quartiles through sketched
+    brackets instead, ``approx=True`` from the sketch alone, which saves passes. A
     column without any value has count 0 and nothing else, also in an empty table.
     """
+    if not approx and not brackets:
+        named = cells.profile(df, columns, QUARTILES)
+        return named.select("column", "count", "mean", "std", "min", *[F.col(f"`{q}`") for q in QUARTILES], "max")
     moments = [
         F.count(VALUE).cast("double").alias("count"),
         F.avg(VALUE).alias("mean"),

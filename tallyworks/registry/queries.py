@@ -330,7 +330,7 @@ def scatter_sample(t):
 def describe_bracketed(t):
     """As ``describe``, every column taken through its brackets."""
     columns = [c for c in RESULT_NUMBERS if c != "Tested"]
-    stats = quantiles.describe(results(t), columns, accuracy=500)
+    stats = quantiles.describe(results(t), columns, accuracy=500, brackets=True)
     return rounded(stats, 4, "mean", "std", "min", "25%", "50%", "75%", "max")
 
 

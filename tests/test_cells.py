@@ -1,0 +1,74 @@
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tallyworks.operators import cells, quantiles
+
+SHARES = {"low": 0.0, "a tenth": 0.1, "25%": 0.25, "50%": 0.5, "99.9%": 0.999, "high": 1.0}
+
+
+def test_order_of_doubles():
+    values = [-math.inf, -1.7e308, -2.5, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.0000000000000002, 3.0, math.inf]
+    numbers = cells.ordered(np.array(values)).tolist()
+    assert numbers == sorted(numbers) and numbers[4] == numbers[5] and len(set(numbers)) == len(values) - 1
+    assert [cells.value_of(n) for n in numbers] == values
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_profile_equals_numpy(frame, seed):
+    random.seed(seed)
+    near = 1 + 2**-40  # differs in the last step only
+    draw = {
+        "plain": lambda: random.gauss(0, 50), "whole": lambda: float(random.randint(-3, 3)),
+        "close": lambda: random.choice([1.0, near, near + 2**-45, -near]), "wide": lambda: random.choice([-1, 1]) * 10 ** random.uniform(-300, 300),
+        "same": lambda: 7.25, "mostly missing": lambda: random.choice([None, None, float("nan"), 2.0, 4.0]), "missing": lambda: None,
+    }
+    n = random.choice([1, 2, 7, 801])
+    rows = [tuple(f() for f in draw.values()) for _ in range(n)]
+    df = frame(rows, ", ".join(f"`{c}` double" for c in draw)).repartition(4)
+    found = {r["column"]: r for r in cells.profile(df, list(draw), SHARES).collect()}
+    for i, c in enumerate(draw):
+        values = np.array([r[i] for r in rows if r[i] is not None and not math.isnan(r[i])])
+        r = found[c]
+        assert r["count"] == len(values)
+        if not len(values):
+            assert [r[s] for s in ["mean", "std", "min", "max", *SHARES]] == [None] * (4 + len(SHARES))
+            continue
+        assert (r["min"], r["max"]) == (values.min(), values.max())
+        for name, share in SHARES.items():
+            assert r[name] == pytest.approx(np.quantile(values, share), rel=1e-12, abs=1e-300)
+        if c != "wide":
+            assert r["mean"] == pytest.approx(values.mean(), abs=1e-9)
+            assert r["std"] is None if len(values) == 1 else r["std"] == pytest.approx(values.std(ddof=1), abs=1e-9)
+
+
+def test_no_rows_and_odd_types(frame):
+    assert [tuple(r)[:2] for r in cells.profile(frame([], "a int, b double"), ["b", "a"], SHARES).collect()] == [("b", 0.0), ("a", 0.0)]
+    df = frame([(True, 3, "x"), (False, None, "y"), (True, 5, "z")], "flag boolean, n int, s string")
+    found = {r["column"]: r for r in cells.profile(df, ["flag", "n"], {"mid": 0.5}).collect()}
+    assert (found["flag"]["mid"], found["n"]["mid"]) == (1.0, 4.0)
+
+
+def test_infinite_values_count(frame):
+    df = frame([(x,) for x in (-math.inf, 1.0, 2.0, math.inf, math.inf)], "v double")
+    r = cells.profile(df, ["v"], {"mid": 0.5, "q": 0.75}).first()
+    assert (r["min"], r["mid"], r["q"], r["max"]) == (-math.inf, 2.0, math.inf, math.inf)
+
+
+def test_what_a_task_hands_on_does_not_grow(spark):
+    """A hundred times the rows, the same number of counts and few rows for the driver."""
+    small, large = (spark.range(n).selectExpr("cast(pmod(hash(id), 1000) as double) as v") for n in (10_000, 1_000_000))
+    sizes = [cells._step(df.coalesce(2), [[0]], 0).count() for df in (small, large)]
+    assert sizes[0] == sizes[1]
+
+
+def test_three_ways_to_describe_agree(tables):
+    df = tables.lineitem
+    columns = ["l_quantity", "l_extendedprice", "l_discount"]
+    exact = {r["column"]: r for r in quantiles.describe(df, columns).collect()}
+    bracketed = {r["column"]: r for r in quantiles.describe(df, columns, brackets=True, accuracy=100).collect()}
+    for c in columns:
+        for name in ("count", "mean", "std", "min", "25%", "50%", "75%", "max"):
+            assert exact[c][name] == pytest.approx(bracketed[c][name], rel=1e-9)
