@@ -35,23 +35,39 @@ def expected_counts(df: DataFrame, row: str, column: str) -> DataFrame:
 
 
 def chi_square(df: DataFrame, row: str, column: str, correction: bool = True) -> DataFrame:
-    """One row: ``statistic`` and ``dof``.
+    """One row: ``statistic`` and ``dof``; for a table without rows NULL and 0.
+
+    Only cells that occur are made: a table of many levels costs as much as its rows.
 
     With one degree of freedom each difference is reduced by up to a half
     (Yates), unless ``correction`` is off.
     """
-    cells = expected_counts(df, row, column)
-    gap = F.abs(F.col("observed") - F.col("expected"))
-    plain = F.sum(gap * gap / F.col("expected"))
-    reduced = gap - F.least(F.lit(0.5), gap)
-    corrected = F.sum(reduced * reduced / F.col("expected"))
-    shape = cells.agg(
-        plain.alias("plain"),
-        corrected.alias("corrected"),
-        ((F.count_distinct(row) - 1) * (F.count_distinct(column) - 1)).alias("dof"),
+    cells = drop_missing_keys(df, [row, column]).groupBy(row, column).agg(rows("_observed"))
+    by_row = cells.groupBy(F.col(row).alias("_row")).agg(F.sum("_observed").cast("double").alias("_row_total"))
+    by_column = cells.groupBy(F.col(column).alias("_column")).agg(F.sum("_observed").cast("double").alias("_column_total"))
+    grand = cells.agg(F.sum("_observed").cast("double")).scalar()
+    met = cells.join(by_row, cells[row] == by_row["_row"]).join(by_column, cells[column] == by_column["_column"])
+    expected = safe_ratio(F.col("_row_total") * F.col("_column_total"), F.col("_grand"))
+    present = met.withColumn("_grand", grand).withColumn("_expected", expected)
+    gap = F.abs(F.col("_observed") - F.col("_expected"))
+    # cells that never occur add what is expected of them: all that is not expected of the others
+    summed = present.agg(
+        (F.sum(gap * gap / F.col("_expected")) + F.max("_grand") - F.sum("_expected")).alias("plain"),
+        F.max(gap).alias("gap"), F.max("_grand").alias("grand"),
+    )
+    sides = [
+        margin.agg(F.count(F.lit(1)).alias("levels"), F.sum(1 / F.col(total)).alias("inverse"))
+        for margin, total in ((by_row, "_row_total"), (by_column, "_column_total"))
+    ]
+    shape = summed.select(
+        "*", *[side.select(F.struct("levels", "inverse")).scalar().alias(n) for side, n in zip(sides, ("r", "c"))]
     )
-    use_corrected = (F.col("dof") == 1) if correction else F.lit(False)
-    return shape.select(F.when(use_corrected, F.col("corrected")).otherwise(F.col("plain")).alias("statistic"), "dof")
+    dof = (F.greatest(F.col("r.levels") - 1, F.lit(0)) * F.greatest(F.col("c.levels") - 1, F.lit(0))).cast("long")
+    # all four differences of a two by two table are equal
+    reduced = F.col("gap") - F.least(F.lit(0.5), F.col("gap"))
+    corrected = reduced * reduced * F.col("grand") * F.col("r.inverse") * F.col("c.inverse")
+    use_corrected = (dof == 1) if correction else F.lit(False)
+    return shape.select(F.when(use_corrected, corrected).otherwise(F.col("plain")).alias("statistic"), dof.alias("dof"))
 
 
 def upper_tail(statistic: float, dof: int) -> float:
@@ -68,10 +84,10 @@ def upper_tail(statistic: float, dof: int) -> float:
 
 
 def with_p_value(test: DataFrame) -> DataFrame:
-    """Add ``p_value`` to the one-row result; Spark SQL has no error function."""
+    """Add ``p_value`` to the one-row result; Spark SQL has no error function. No degree of freedom, no p-value."""
 
     @F.pandas_udf("double")
     def tail(statistic: pd.Series, dof: pd.Series) -> pd.Series:
-        return pd.Series([upper_tail(s, int(d)) for s, d in zip(statistic, dof)])
+        return pd.Series([upper_tail(s, int(d)) if d > 0 else None for s, d in zip(statistic, dof)])
 
     return test.withColumn("p_value", tail("statistic", "dof"))

@@ -161,6 +161,12 @@ _VIEWERS = f"""with {VIEWS}, totals as (
     count(distinct video_id) as total_unique_videos_watched from views group by viewer_id
 ) select * from totals"""
 oracle("viewer_totals", _VIEWERS)
+oracle("viewer_totals_merged", _VIEWERS)
+oracle(
+    "quartiles_over_pulls",
+    """select l_returnflag, l_linestatus, count(*) as n, true as "25%", true as "50%", true as "75%"
+    from lineitem group by 1, 2""",
+)
 oracle("top_viewers_by_time", _VIEWERS + " order by total_watch_time desc, viewer_id limit 10")
 oracle("top_viewers_by_videos", _VIEWERS + " order by total_unique_videos_watched desc, viewer_id limit 10")
 oracle(
@@ -770,6 +776,21 @@ oracle(
       select (bb * ca - ab * cb) / (aa * bb - ab * ab) as wa, (aa * cb - ab * ca) / (aa * bb - ab * ab) as wb from sums
     ) select doc_id, round(my + wa * (a - ma) + wb * (b - mb), 3) + 0.0 as score from rows, means, weights""",
 )
+oracle(
+    "ridge_held_out",
+    """with rows as (
+      select doc_id, n_chars / 1000.0::double as a, toxic::double as b, case when quality = 1 then 1.0 else -1.0 end::double as y,
+        row_number() over (order by md5(doc_id || '|0')) <= ceil(0.3 * count(*) over ()) as held
+      from documents join labels using (doc_id)
+    ), means as (select avg(a) as ma, avg(b) as mb, avg(y) as my from rows where not held),
+    sums as (
+      select sum((a - ma) * (a - ma)) + 1 as aa, sum((b - mb) * (b - mb)) + 1 as bb, sum((a - ma) * (b - mb)) as ab,
+        sum((a - ma) * (y - my)) as ca, sum((b - mb) * (y - my)) as cb from rows, means where not held
+    ), weights as (
+      select (bb * ca - ab * cb) / (aa * bb - ab * ab) as wa, (aa * cb - ab * ca) / (aa * bb - ab * ab) as wb from sums
+    ), scored as (select doc_id, my + wa * (a - ma) + wb * (b - mb) as s from rows, means, weights where held)
+    select doc_id, round(s, 3) + 0.0 as score, case when s > 0 then 1 else 0 end as prediction from scored""",
+)
 oracle(
     "score_ridge_counts",
     f"""with {NOTES}, parted as (

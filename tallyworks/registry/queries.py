@@ -14,9 +14,10 @@ from tallyworks import schemas
 from tallyworks.bindings import Tables
 from tallyworks.functions import nested, nulls, recode, text
 from tallyworks.operators import (
-    aggregates, chi_square, correlation, density, encode, models, quantiles, ranking, tfidf,
+    aggregates, chi_square, correlation, density, encode, models, pulls, quantiles, ranking, tfidf,
 )
 from tallyworks.plans import meets, notes, quotes, shop, study, video
+from tallyworks.session import cut_lineage, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -141,6 +142,35 @@ def viewer_totals(t):
     return video.viewer_totals(t.views())
 
 
+@query("viewer_totals_merged")
+def viewer_totals_merged(t):
+    """As ``viewer_totals``, from the stored summaries of three pulls."""
+    views = t.views()
+    parts = [views.filter(F.pmod(F.floor("watch_time_minutes"), F.lit(3)) == i) for i in range(3)]
+    stored = [written(pulls.summarise(p, ["viewer_id"], "video_id", "watch_time_minutes"), "pull") for p in parts]
+    summaries = stored[0].unionByName(stored[1]).unionByName(stored[2])
+    return pulls.totals(summaries, ["viewer_id"], "total_watch_time", "total_unique_videos_watched")
+
+
+@query("quartiles_over_pulls")
+def quartiles_over_pulls(t):
+    """Quartiles by group from the stored sketches of three pulls: rows counted, and whether each is within its rank error."""
+    facts = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus", F.col("l_extendedprice").cast("double").alias("price"))
+    keys = ["l_returnflag", "l_linestatus"]
+    parts = [facts.filter(F.pmod("l_orderkey", F.lit(3)) == i) for i in range(3)]
+    stored = [written(pulls.sketched(p, keys, ["price"]), "pull") for p in parts]
+    answers = pulls.quantiles(stored[0].unionByName(stored[1]).unionByName(stored[2]), keys, quantiles.QUARTILES)
+    met = facts.join(F.broadcast(answers), keys)
+    error = F.lit(pulls.RANK_ERROR)
+
+    def within(name, share):
+        below = F.count_if(F.col("price") < F.col(f"`{name}`")) / F.count(F.lit(1))
+        up_to = F.count_if(F.col("price") <= F.col(f"`{name}`")) / F.count(F.lit(1))
+        return ((below <= share + error) & (up_to >= share - error)).alias(name)
+
+    return met.groupBy(*keys).agg(F.first("n").alias("n"), *[within(n, s) for n, s in quantiles.QUARTILES.items()])
+
+
 @query("top_viewers_by_time")
 def top_viewers_by_time(t):
     return video.top_viewers(t.views(), "total_watch_time")
@@ -685,6 +715,23 @@ def ridge_two_features(t):
     return rounded(model.transform(features).select("doc_id", F.col("_score").alias("score")), 3, "score")
 
 
+@query("ridge_held_out")
+def ridge_held_out(t):
+    """The classifier's ridge fitted on the training part: score and side of every held-out row."""
+    rows = t.documents.join(t.labels, "doc_id").select(
+        "doc_id", (F.col("n_chars") / 1000).alias("length"), F.col("toxic").cast("double").alias("toxic"),
+        F.when(F.col("quality") == 1, 1.0).otherwise(-1.0).alias("_side"),
+    )
+    assembled = VectorAssembler(inputCols=["length", "toxic"], outputCol="features")
+    parted = assembled.transform(cut_lineage(ranking.split(rows, "doc_id")))
+    training = parted.filter("part = 'train'")
+    size = training.agg(F.count("_side").alias("rows"), F.stddev_samp("_side").alias("deviation")).first()
+    model = models.drop_summary(models.ridge(size.rows, size.deviation).fit(training))
+    scored = model.transform(parted.filter("part = 'test'"))
+    side = F.when(F.col("_score") > 0, 1).otherwise(0).alias("prediction")
+    return rounded(scored.select("doc_id", F.col("_score").alias("score"), side), 3, "score")
+
+
 @query("score_ridge_counts")
 def score_ridge_counts(t):
     """Held-out rows per outcome, and how many of them got one of the two labels."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,15 +41,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     a lost executor. Where it is not set, a session in one process gets a folder of its own,
     any other an error.
     """
-    context = df.sparkSession.sparkContext
+    _checkpoint_folder(df.sparkSession)
+    return df.checkpoint()
+
+
+def _checkpoint_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
             if not context.master.startswith("local") or "cluster" in context.master:
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return context.getCheckpointDir()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table of its own in the shared checkpoint folder and read it back."""
+    path = f"{_checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:

@@ -162,3 +162,27 @@ def test_histogram_and_cells(frame):
     points = frame([("M", 4.9, 10.0), ("M", 0.1, 11.0), ("M", -0.1, 10.0)], "s string, x double, y double")
     cells = {(r.x_bin, r.y_bin): r.n for r in density.density_2d(points, ["s"], "x", "y", 5, 5).collect()}
     assert cells == {(0.0, 10.0): 2, (-5.0, 10.0): 1}
+
+
+def test_chi_square_of_many_levels_and_of_nothing(frame):
+    """The statistic needs no grid: compared with all cells, also where most pairs never occur."""
+    import random
+
+    random.seed(6)
+    for levels in (2, 3, 40):
+        rows = [(f"r{random.randint(1, levels)}", f"c{random.randint(1, levels)}") for _ in range(levels * 3)] + [("r1", None)]
+        rows += [("r1", "c1"), ("r2", "c2")]
+        df = frame(rows, "g string, o string")
+        cells = chi_square.expected_counts(df, "g", "o").collect()
+        for correction in (True, False):
+            found = chi_square.chi_square(df, "g", "o", correction).first()
+            degrees = (len({c.g for c in cells}) - 1) * (len({c.o for c in cells}) - 1)
+            gaps = [abs(c.observed - c.expected) for c in cells]
+            if correction and degrees == 1:
+                gaps = [x - min(0.5, x) for x in gaps]
+            assert found.dof == degrees
+            assert found.statistic == pytest.approx(sum(x * x / c.expected for x, c in zip(gaps, cells)), rel=1e-9)
+    empty = chi_square.with_p_value(chi_square.chi_square(frame([], "g string, o string"), "g", "o")).first()
+    assert (empty.statistic, empty.dof, empty.p_value) == (None, 0, None)
+    one = chi_square.chi_square(frame([("a", "x")] * 5, "g string, o string"), "g", "o").first()
+    assert (one.statistic, one.dof) == (0.0, 0)
