@@ -14,6 +14,11 @@ LONG_WORDS = 50
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+def _trimmed(line: Column) -> Column:
+    """Without blanks, tabs, returns and form feeds at both ends."""
+    return F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))
+
+
 def _hash(line: Column) -> Column:
     """96 bits of a line: two independent hashes."""
     return F.struct(F.xxhash64(line).alias("x"), F.hash(line).alias("y"))
@@ -23,7 +28,7 @@ def _marked(text: str, long_words: int) -> Column:
     """The lines of a text that are not blank: place in the text, hash, whether long."""
     lines = F.transform(
         F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1),
-        lambda line, i: F.struct(i.alias("at"), F.trim(line).alias("line")),
+        lambda line, i: F.struct(i.alias("at"), _trimmed(line).alias("line")),
     )
     return F.transform(
         F.filter(lines, lambda s: s["line"] != ""),
@@ -32,7 +37,7 @@ def _marked(text: str, long_words: int) -> Column:
             _hash(s["line"]).alias("h"),
             # cheap bound first: a line of n words has 2n - 1 characters at least
             ((F.length(s["line"]) >= 2 * long_words - 1)
-             & (F.size(F.split(F.trim(F.regexp_replace(s["line"], BLANKS, " ")), " ")) >= long_words)).alias("long"),
+             & (F.size(F.split(_trimmed(F.regexp_replace(s["line"], BLANKS, " ")), " ")) >= long_words)).alias("long"),
         ),
     )
 
@@ -126,7 +131,7 @@ def deduplicate_lines(
     joined = joined.unionByName(copies)
     lines = F.split(F.col(text), "\n", -1)
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    n_lines = F.coalesce(F.size(F.filter(lines, lambda line: F.trim(line) != "")), F.lit(0)).cast("long")
+    n_lines = F.coalesce(F.size(F.filter(lines, lambda line: _trimmed(line) != "")), F.lit(0)).cast("long")
     made = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept).alias(text)
     done = joined.select(
         key, CALLER, made,

@@ -68,9 +68,9 @@ from docs left join gone using (doc_id) left join (
 _OP6 = r"""
 with docs as (select doc_id, text, string_split(coalesce(text, ''), chr(10)) as l from documents),
 lines as (
-  select doc_id, i, trim(x) as line,
+  select doc_id, i, trim(x, E' \t\n\x0b\x0c\r') as line,
     row_number() over (partition by doc_id order by i) as n
-  from (select doc_id, unnest(l) as x, unnest(range(1, len(l) + 1)) as i from docs) where trim(x) <> ''
+  from (select doc_id, unnest(l) as x, unnest(range(1, len(l) + 1)) as i from docs) where trim(x, E' \t\n\x0b\x0c\r') <> ''
 ), units as (
   select a.doc_id, a.i, a.line || chr(10) || b.line as unit, [a.i, b.i] as covers
   from lines a join lines b on a.doc_id = b.doc_id and b.n = a.n + 1

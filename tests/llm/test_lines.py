@@ -5,12 +5,15 @@ import pytest
 from tallyworks.llm import lines
 
 
+BLANKS = " \t\n\x0b\x0c\r"
+
+
 def by_hand(docs, long_words):
     """The definition: pairs of neighbouring lines, and long lines, that start at an earlier place too."""
     units = {}
     found = []
     for i, text in docs:
-        at = [(n, line.strip(" ")) for n, line in enumerate((text or "").split("\n")) if line.strip(" ")]
+        at = [(n, line.strip(BLANKS)) for n, line in enumerate((text or "").split("\n")) if line.strip(BLANKS)]
         own = [((a[1], b[1]), a[0], {a[0], b[0]}) for a, b in zip(at, at[1:])]
         own += [((line,), n, {n}) for n, line in at if len(line.split()) >= long_words]
         found.append((i, text, own))
@@ -42,6 +45,13 @@ def test_equals_brute_force(spark, seed):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == by_hand(docs, 4)
 
 
+def test_blanks_of_all_kinds_at_both_ends(frame):
+    docs = [(1, "one two\nthree\nfour"), (2, "one two\r\n\tthree \r\n\x0bother\x0c"), (3, "\t\r\n \x0c\nfive")]
+    got = {r.doc_id: r for r in lines.deduplicate_lines(frame(docs, "doc_id long, text string")).collect()}
+    assert (got[2].text, got[2].n_lines, got[2].n_removed) == ("\x0bother\x0c", 3, 2)
+    assert (got[3].text, got[3].n_lines, got[3].n_removed) == (docs[2][1], 1, 0)
+
+
 def test_repeated_rows_share_their_fate(frame):
     docs = [(2, "x\ny"), (2, "x\ny"), (1, "x\ny")]
     got = lines.deduplicate_lines(frame(docs, "doc_id long, text string")).collect()
