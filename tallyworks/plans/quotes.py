@@ -10,8 +10,10 @@ from tallyworks import fixed_values, schemas
 from tallyworks.functions.nested import flatten
 from tallyworks.functions.recode import cast_to
 from tallyworks.operators.ranking import latest_per_key
-from tallyworks.sources.readers import read_json_pages, read_parquet
-from tallyworks.sources.writers import append_table, pull_is_there, stamp, write_pull
+from tallyworks.session import cut_lineage
+from tallyworks.sources.ledger import Ledger, missing_rows, run_steps
+from tallyworks.sources.readers import read_json_pages, read_parquet, read_table
+from tallyworks.sources.writers import append_table, stamp, write_pull
 
 
 def extract(spark: SparkSession, landing: str, pulled_at: datetime) -> DataFrame:
@@ -35,18 +37,37 @@ def latest(clean: DataFrame) -> DataFrame:
     return latest_per_key(clean, ["id"], ["timestamp", *rest])
 
 
-def run(spark: SparkSession, landing: str, raw_path: str, clean_path: str, url: str, pulled_at: datetime) -> int:
-    """Add one pull to the raw files, the clean files and the table; returns the rows of the table.
+def run(
+    spark: SparkSession, landing: str, raw_path: str, clean_path: str, url: str, pulled_at: datetime,
+    ledger_path: str | None = None,
+) -> int:
+    """Add one pull to the raw files, the clean files and the table; returns the rows of the pull.
 
-    The landed pages are read once; later steps read the raw files of this pull. A repeated
-    run replaces the files of its pull. The table is appended to last, and only where
-    the pull is not in the clean files yet: a run that failed there is finished by hand.
+    The landed pages are read once; later steps read the raw files of this pull. The ledger (by default beside the clean files) notes
+    what is begun and what is done. A repeated run goes on where the last one ended: files of the pull are replaced, and the table gets
+    the rows it does not hold yet.
     """
     pull = pulled_at.strftime("%Y-%m-%dT%H-%M-%S")
-    raw = extract(spark, landing, pulled_at).withColumn("pull", F.lit(pull))
-    write_pull(raw, raw_path, "pull")
-    raw = read_parquet(spark, raw_path, nan_as_null=False).filter(F.col("pull") == pull)
-    clean = transform(raw).withColumn("pull", F.lit(pull))
-    seen = pull_is_there(spark, clean_path, "pull", pull)
-    rows = write_pull(clean, clean_path, "pull")
-    return rows if seen else append_table(table_rows(clean), url, "quotes")
+    ledger = Ledger(spark, ledger_path or f"{clean_path.rstrip('/')}.ledger")
+
+    def of_pull(path: str) -> DataFrame:
+        return read_parquet(spark, path, nan_as_null=False).filter(F.col("pull") == pull).drop("pull")
+
+    def write_raw(again: bool) -> int:
+        return write_pull(extract(spark, landing, pulled_at).withColumn("pull", F.lit(pull)), raw_path, "pull")
+
+    def write_clean(again: bool) -> int:
+        return write_pull(transform(of_pull(raw_path)).withColumn("pull", F.lit(pull)), clean_path, "pull")
+
+    def write_table(again: bool) -> int:
+        rows = table_rows(of_pull(clean_path))
+        if not again:
+            return append_table(rows, url, "quotes")
+        # an earlier run may have appended some partitions, or all
+        there = read_table(spark, url, "quotes").filter(F.col("API_TimeStamp") == F.lit(pulled_at).cast("timestamp"))
+        missing = cut_lineage(missing_rows(rows, there, ["CoinID", "API_TimeStamp"]))
+        if missing.limit(1).count():
+            append_table(missing, url, "quotes")
+        return rows.count()
+
+    return run_steps(ledger, pull, [("raw", write_raw), ("clean", write_clean), ("table", write_table)])["table"]
