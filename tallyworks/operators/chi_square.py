@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyworks.functions.nulls import safe_ratio
 from tallyworks.operators.aggregates import drop_missing_keys, rows
 
 
+#: Steps of a series or continued fraction; more for many degrees of freedom.
+STEPS = 120
+
+
 def expected_counts(df: DataFrame, row: str, column: str) -> DataFrame:
     """Observed and expected count of every cell: ``(row, column, observed, expected)``.
 
@@ -70,24 +73,35 @@ def chi_square(df: DataFrame, row: str, column: str, correction: bool = True) ->
     return shape.select(F.when(use_corrected, corrected).otherwise(F.col("plain")).alias("statistic"), dof.alias("dof"))
 
 
-def upper_tail(statistic: float, dof: int) -> float:
-    """Probability that a chi-squared variable with ``dof`` exceeds ``statistic``."""
-    half = statistic / 2
-    if dof % 2:
-        tail, start = math.erfc(math.sqrt(half)), 0.5
-    else:
-        tail, start = math.exp(-half), 1.0
-    terms = (start + i for i in range(int(dof / 2 - start)))
-    if half > 0:
-        tail += sum(math.exp(a * math.log(half) - half - math.lgamma(a + 1)) for a in terms)
-    return min(tail, 1.0)
+def upper_tail(statistic: Column, dof: Column) -> Column:
+    """Probability that a chi-squared variable with ``dof`` exceeds ``statistic``: the incomplete gamma function Q(dof / 2, statistic / 2).
 
+    Below dof / 2 + 1 it is one less the power series of P, from there on its continued fraction, both by as many steps as
+    the last digits need for up to some thousand degrees of freedom. NULL without a statistic or a degree of freedom.
+    """
+    a, x = dof / 2, statistic / 2
+    # ln Gamma(a): a product of whole or half numbers
+    start = F.when(dof % 2 == 0, F.lit(0.0)).otherwise(F.lit(math.log(math.pi) / 2))
+    below = F.sequence(F.lit(1), F.greatest(F.floor((dof - 1) / 2), F.lit(1)).cast("int"))
+    factor = lambda i: F.when(dof % 2 == 0, i.cast("double")).otherwise(i - 0.5)
+    log_gamma = F.aggregate(
+        F.filter(below, lambda i: i <= F.floor((dof - 1) / 2)), start, lambda total, i: total + F.log(factor(i))
+    )
+    scale = F.exp(a * F.log(x) - x - log_gamma)
+    steps = F.sequence(F.lit(1), (STEPS + 4 * F.ceil(F.sqrt(dof))).cast("int"))
+    series = F.aggregate(
+        steps, F.struct((1 / a).alias("term"), (1 / a).alias("sum")),
+        lambda s, n: F.struct((s["term"] * x / (a + n)).alias("term"), (s["sum"] + s["term"] * x / (a + n)).alias("sum")),
+    )["sum"]
+    # b0 + a1 / (b1 + a2 / (b2 + ...)) from its far end
+    fraction = F.aggregate(
+        F.reverse(steps), x + 1e9, lambda tail, n: x - a + 2 * n - 1 + n * (a - n) / tail
+    )
+    tail = F.when(x < a + 1, 1 - scale * series).otherwise(scale / fraction)
+    known = (dof > 0) & statistic.isNotNull()
+    return F.when(known, F.when(x <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(tail, F.lit(0.0)), F.lit(1.0))))
 
-def with_p_value(test: DataFrame) -> DataFrame:
-    """Add ``p_value`` to the one-row result; Spark SQL has no error function. No degree of freedom, no p-value."""
-
-    @F.pandas_udf("double")
-    def tail(statistic: pd.Series, dof: pd.Series) -> pd.Series:
-        return pd.Series([upper_tail(s, int(d)) if d > 0 else None for s, d in zip(statistic, dof)])
 
-    return test.withColumn("p_value", tail("statistic", "dof"))
+def with_p_value(test: DataFrame) -> DataFrame:
+    """Add ``p_value`` to every row that has a ``statistic`` and ``dof``. No degree of freedom, no p-value."""
+    return test.withColumn("p_value", upper_tail(F.col("statistic"), F.col("dof").cast("double")))

@@ -110,6 +110,45 @@ def test_saved_model_scores_the_same_and_accepts_new_levels(spark, prepared, tmp
     assert before.count() == prepared.count() and before.exceptAll(after).count() == 0
 
 
+def test_forest_predictions_are_the_votes_of_its_saved_trees(spark, prepared, tmp_path):
+    """Every prediction, recomputed in plain Python from the trees that were saved."""
+    import numpy as np
+
+    model = notes.final_model(prepared, "doc_id", "forest", limits=LIMITS, numTrees=7, maxDepth=4)
+    path = str(tmp_path / "forest")
+    forest = model.stages[-2]
+    forest.write().overwrite().save(path)
+    trees = {}
+    for r in spark.read.parquet(f"{path}/data").collect():
+        node = r.nodeData if "nodeData" in r else r
+        trees.setdefault(r.treeID, {})[node.id] = node
+
+    def votes(x):
+        total = np.zeros(2)
+        for nodes in trees.values():
+            node = nodes[0]
+            while node.leftChild >= 0:
+                split = node.split
+                if split.numCategories == -1:
+                    left = x[split.featureIndex] <= split.leftCategoriesOrThreshold[0]
+                else:
+                    left = x[split.featureIndex] in split.leftCategoriesOrThreshold
+                node = nodes[node.leftChild if left else node.rightChild]
+            stats = np.array(node.impurityStats)
+            total += stats / stats.sum()
+        return total
+
+    assert len(trees) == 7
+    rows = model.transform(prepared).select("features", "Predictions").collect()
+    sides = set()
+    for r in rows:
+        bad, good = votes(r.features.toArray())
+        if abs(good - bad) > 1e-9:
+            assert r.Predictions == ("Successful" if good > bad else "Unsuccessful")
+        sides.add(r.Predictions)
+    assert len(rows) == prepared.count() and len(sides) == 2
+
+
 def test_run_writes_scores_and_a_model(spark, tables, tmp_path):
     paths = [str(tmp_path / p) for p in ("scored", "model")]
     rows = notes.run(tables.raw_notes(), "doc_id", *paths, kind="logistic", limits=LIMITS, maxIter=5)
