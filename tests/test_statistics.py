@@ -153,7 +153,39 @@ def test_density_integrates_to_one_and_matches_direct_sum(spark):
     assert d == pytest.approx(direct, abs=1e-12)
 
 
+@pytest.mark.parametrize("error", [1e-3, 1e-8, 1e-15])
+def test_density_keeps_its_error_bound(spark, error):
+    """Far apart clusters, an outlier, and grids finer and coarser than the cells."""
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.normal(0, 1, 300), rng.normal(40, 0.01, 200), rng.exponential(3, 100), [1e3, -1e3]])
+    df = spark.createDataFrame([("A", float(v)) for v in values], "g string, v double").repartition(5)
+    width = values.std(ddof=1) * len(values) ** -0.2
+    for points, continuous in ((7, True), (60, False), (900, True)):
+        rows = density.kernel_density(df, ["g"], "v", points=points, continuous=continuous, error=error).orderBy("point").collect()
+        x, d = np.array([r.x for r in rows]), np.array([r.density for r in rows])
+        bumps = np.exp(-0.5 * ((x[:, None] - values) / width) ** 2)
+        direct = bumps.sum(axis=1) / (len(values) * width * math.sqrt(2 * math.pi))
+        assert len(rows) == points and (d >= 0).all()
+        # 1e-14 for the rounding of the grid itself
+        assert np.abs(d - direct).max() * width * math.sqrt(2 * math.pi) <= error + 1e-14
+
+
+def test_density_sends_cells_not_points(spark):
+    df = spark.range(20_000).select(F.lit("A").alias("g"), F.sqrt(F.col("id").cast("double")).alias("v"))
+    stats = df.groupBy("g").agg(
+        F.count("v").alias("n"), F.stddev_samp("v").alias("std"), F.min("v").alias("low"), F.max("v").alias("high")
+    )
+    weighted = df.select("g", F.col("v").alias("value"), F.lit(1.0).alias("weight"))
+    few, many = (
+        density._cells(weighted, density._grids(stats, ["g"], points, 3.0), ["g"], density._terms(1e-15)).count()
+        for points in (50, 5000)
+    )
+    assert abs(few - many) <= 1 and many < 200
+    assert "Python" not in density.kernel_density(df, ["g"], "v", continuous=True)._jdf.queryExecution().toString()
+
+
 def test_constant_data_has_no_density(frame):
+    assert density.kernel_density(frame([("A", 1.0), ("A", float("inf"))], "g string, v double"), ["g"], "v").count() == 0
     assert density.kernel_density(frame([("A", 1.0), ("A", 1.0)], "g string, v double"), ["g"], "v").count() == 0
 
 
