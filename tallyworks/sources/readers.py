@@ -5,10 +5,12 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from contextlib import contextmanager
+from typing import BinaryIO
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyworks.functions.nulls import nan_to_null
@@ -71,11 +73,37 @@ def read_csv_cp1252(spark: SparkSession, path: str, schema: T.StructType, **opti
     return read_csv(spark, path, schema, encoding="windows-1252", **options)
 
 
-def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, rows_per_batch: int = 50_000) -> DataFrame:
-    """The ``.csv`` member of every zip archive under ``path``; the last one wins.
+def open_file(path: str, buffer_bytes: int = 4 << 20) -> BinaryIO:
+    """A file of the local disk, or of a store that Arrow knows (HDFS, S3, GCS, ABFS), for reading at any place in it.
 
-    A zip archive cannot be split, so the work is spread over archives. The
-    archive is opened as a stream of blocks, rows leave it in batches.
+    ``path`` is written as Spark writes it, blanks and all.
+    """
+    scheme, _, rest = path.partition(":")
+    if path.startswith("/"):
+        raw = fs.LocalFileSystem().open_input_file(path)
+    elif scheme == "file":
+        raw = fs.LocalFileSystem().open_input_file("/" + rest.lstrip("/"))
+    else:
+        host, _, inside = rest.removeprefix("//").partition("/")
+        store = {"s3a": "s3", "s3n": "s3", "abfss": "abfs"}.get(scheme, scheme)
+        system, root = fs.FileSystem.from_uri(f"{store}://{host}/")
+        raw = system.open_input_file(f"{root.rstrip('/')}/{inside}")
+    return io.BufferedReader(raw, buffer_bytes)
+
+
+def read_zipped_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    rows_per_batch: int = 50_000,
+    opened: Callable[[str], BinaryIO] = open_file,
+) -> DataFrame:
+    """The ``.csv`` member of every zip archive under ``path``; the last one wins, an archive without any has no rows.
+
+    Spark lists the archives and deals them to tasks by their sizes, without
+    their contents. A task opens an archive where it lies (``opened`` does so, for
+    stores that :func:`open_file` does not know), reads its directory at the end and inflates the member as a stream, so it
+    holds one batch of rows, however large the archive. A zip archive cannot be split: one task reads it.
     """
     names = schema.fieldNames()
     floats = {f.name for f in schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
@@ -83,21 +111,10 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, rows_p
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for content in batch["content"]:
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [n for n in archive.namelist() if n.endswith(".csv")]
-                    if not members:
-                        continue
-                    with archive.open(members[-1]) as member:
-                        chunks = pd.read_csv(
-                            member, dtype=str, encoding="utf-8-sig", chunksize=rows_per_batch,
-                            keep_default_na=False, na_values=[""],
-                        )
-                        for chunk in chunks:
-                            yield chunk.reindex(columns=names).astype(object).where(lambda c: c.notna(), None)
-
-    archives = spark.read.format("binaryFile").load(path).select("content")
-    text = archives.mapInPandas(rows, text_schema)
+            for archive in batch["path"]:
+                yield from member_rows(opened, archive, names, rows_per_batch)
+
+    text = spark.read.format("binaryFile").load(path).select("path").mapInPandas(rows, text_schema)
     typed = text.select(
         [
             (F.col(f"`{f.name}`").cast(f.dataType) if f.name not in floats else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
@@ -107,6 +124,20 @@ def read_zipped_csv(spark: SparkSession, path: str, schema: T.StructType, rows_p
     return nan_to_null(typed)
 
 
+def member_rows(opened: Callable[[str], BinaryIO], path: str, names: list[str], rows_per_batch: int) -> Iterator[pd.DataFrame]:
+    """The named columns, as text, of the last ``.csv`` member of one archive, a batch of rows at a time."""
+    with opened(path) as file, zipfile.ZipFile(file) as archive:
+        members = [m for m in archive.infolist() if m.filename.endswith(".csv")]
+        if not members:
+            return
+        with archive.open(members[-1]) as member:
+            chunks = pd.read_csv(
+                member, dtype=str, encoding="utf-8-sig", chunksize=rows_per_batch, keep_default_na=False, na_values=[""],
+            )
+            for chunk in chunks:
+                yield chunk.reindex(columns=names).astype(object).where(lambda c: c.notna(), None)
+
+
 def read_parquet(spark: SparkSession, *paths: str, nan_as_null: bool = True) -> DataFrame:
     """Parquet. ``nan_as_null=False`` keeps number filters in the file scan, for
     data known to hold no NaN, such as files this library has written."""

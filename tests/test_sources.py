@@ -98,6 +98,47 @@ def test_zip_takes_the_last_csv_member(spark, tmp_path):
     assert sorted((tuple(r) for r in df.collect()), key=str) == [("A, B", 100.5, 1), ("A, B", 100.5, 2), ("C", None, None), ("C", None, None)]
 
 
+def test_zip_members_stream_and_odd_archives(spark, tmp_path):
+    import tracemalloc
+
+    folder = tmp_path / "with blank, 100%"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "big one.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("skipped.csv", "k,v\nno,no\n")
+        with z.open("a.csv", "w") as member:
+            member.write(b"k,v\n")
+            for i in range(200):
+                member.write(b"".join(b"%d,%s\n" % (i * 1000 + j, b"x" * 200) for j in range(1000)))
+        z.writestr("z.txt", "k,v\n")
+    with zipfile.ZipFile(folder / "none.zip", "w") as z:
+        z.writestr("readme.txt", "text")
+    with zipfile.ZipFile(folder / "empty.zip", "w") as z:
+        z.writestr("e.csv", "k,v\n")
+    # 40 MB of text pass through a few batches' room
+    tracemalloc.start()
+    sizes = [len(b) for b in readers.member_rows(readers.open_file, f"file:{folder}/big one.zip", ["k"], 1000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sizes) == 200_000 and max(sizes) <= 1000 and peak < 12 << 20
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType()), T.StructField("w", T.StringType())])
+    df = readers.read_zipped_csv(spark, str(folder), schema)
+    total = df.agg(F.count("*"), F.sum("k"), F.min(F.length("v")), F.count("w")).first()
+    assert tuple(total) == (200_000, 200_000 * 199_999 // 2, 200, 0)
+    # the listing holds paths, not contents
+    assert "content" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_zip_by_an_opener_of_ones_own(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "one.zip", "w") as z:
+        z.writestr("a.csv", "k\n1\n")
+    schema = T.StructType([T.StructField("k", T.LongType())])
+
+    def opened(path):
+        return open(path.removeprefix("file:"), "rb")
+
+    assert [r.k for r in readers.read_zipped_csv(spark, str(tmp_path), schema, opened=opened).collect()] == [1]
+
+
 def test_parquet_nan(spark, tmp_path):
     spark.createDataFrame([(float("nan"),), (2.0,)], "x double").write.parquet(str(tmp_path / "p"))
     assert sorted(r.x or 0 for r in readers.read_parquet(spark, str(tmp_path / "p")).collect()) == [0, 2.0]
