@@ -17,6 +17,9 @@ MOST_CELLS = 1 << 25
 #: Smoothing of trigram counts; rounds of expectation-maximisation; cost of a language, in log(n) per language.
 SMOOTHING, ROUNDS, PENALTY = 0.5, 12, 1.0
 
+#: Languages with no more than this share are tried for removal together.
+TRACE = 0.005
+
 #: Trigrams counted at once, so that a long text needs no more memory than others.
 PIECE = 1 << 18
 
@@ -104,8 +107,9 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang") -> tuple[
 def mixture(model: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The languages of a document and their proportions.
 
-    Expectation-maximisation for the proportions of all languages; then the language with the
-    least share goes as long as that raises the log-likelihood less ``PENALTY`` log(n) per language.
+    Expectation-maximisation for the proportions of all languages; then the language with the least share (the first,
+    if equal) goes as long as the log-likelihood less ``PENALTY`` log(n) per language does not fall. All languages with hardly a
+    trace go in one step if that stands the same comparison: so a short passage of another language in a long text keeps its share.
     """
     n = counts.sum()
     likely = model[:, grams]
@@ -124,15 +128,17 @@ def mixture(model: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> tuple[n
     which = np.arange(len(model))
     share, value = fitted(which, np.full(len(which), 1 / len(which), dtype=np.float32))
     while len(which) > 1:
-        # languages with hardly a trace go at once, then one at a time
-        keep = share > 0.005
-        if keep.all() or not keep.any():
-            keep = np.arange(len(which)) != share.argmin()
-        fewer, less = which[keep], share[keep] / share[keep].sum()
-        less, lower = fitted(fewer, less)
-        if lower < value and (share[~keep] > 0.005).any():
+        hardly = share <= TRACE
+        tries = [np.arange(len(which)) != share.argmin()]
+        if hardly.sum() > 1 and not hardly.all():
+            tries.insert(0, ~hardly)
+        for keep in tries:
+            less, lower = fitted(which[keep], share[keep] / share[keep].sum())
+            if lower >= value:
+                which, share, value = which[keep], less, lower
+                break
+        else:
             break
-        which, share, value = fewer, less, lower
     return which, share
 
 

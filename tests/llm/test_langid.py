@@ -31,6 +31,21 @@ def test_mixture_finds_the_proportions():
     assert share[0] == pytest.approx(0.7, abs=0.06)
 
 
+def test_a_short_passage_keeps_its_share():
+    """A language with 3 of 1,000 trigrams, seen in no other language, stays; those without a trace go."""
+    rng = np.random.default_rng(2)
+    model = np.full((5, 50), 1e-7, dtype=np.float32)
+    for i in range(5):
+        model[i, i * 10 : i * 10 + 10] = rng.dirichlet(np.full(10, 5.0))
+    grams = np.concatenate([rng.choice(50, 20_000, p=model[1] / model[1].sum()), rng.choice(50, 60, p=model[3] / model[3].sum())])
+    used, counts = np.unique(grams, return_counts=True)
+    which, share = langid.mixture(model, used, counts.astype(np.float32))
+    assert which.tolist() == [1, 3]
+    assert share[1] == pytest.approx(60 / 20_060, rel=0.2)
+    only, _ = langid.mixture(model, used[used < 20], counts[used < 20].astype(np.float32))
+    assert only.tolist() == [1]
+
+
 def test_pieces_count_the_same_trigrams(monkeypatch):
     letter = langid.letters()
     text = "Où est là, 12 x; Straße ÀÉ! " * 50
