@@ -762,6 +762,18 @@ oracle(
         f"select doc_id, '{c}_' || {c} as flag from notes" for c in ["Gender", "Race", "Risk", "ProbationType"]
     ),
 )
+oracle(
+    "encoded_categories",
+    f"""with {NOTES}, parted as (
+      select *, row_number() over (order by md5(doc_id || '|0')) <= ceil(0.3 * count(*) over ()) as held from notes
+    ), long as (
+      {" union all ".join(f"select doc_id, held, '{c}' as category, {c} as level from parted" for c in ["Gender", "Race", "Risk", "ProbationType"])}
+    ), known as (
+      select category, level, (row_number() over (partition by category order by level) - 1)::int as position
+      from (select distinct category, level from long where not held)
+    ), sizes as (select category, count(*)::int as size from known group by 1)
+    select doc_id, category, level, size, position from long join sizes using (category) left join known using (category, level)""",
+)
 # ridge with an intercept that is not penalised: a centred two by two system
 oracle(
     "ridge_two_features",

@@ -702,6 +702,14 @@ def one_hot_all(t):
     return encode.flags(filled, "doc_id", notes.CATEGORIES)
 
 
+@query("encoded_categories")
+def encoded_categories(t):
+    """The classifier's fitted one-hot stages: fitted on the training part, applied to every row."""
+    filled = notes.fill_defaults(notes.select_closed(t.raw_notes()))
+    train = ranking.split(filled, "doc_id").filter("part = 'train'")
+    return models.encoded(filled, "doc_id", notes.CATEGORIES, train)
+
+
 @query("ridge_two_features")
 def ridge_two_features(t):
     """The classifier's ridge on two numbers, every score."""

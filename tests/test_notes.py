@@ -171,3 +171,12 @@ def test_accuracy(frame):
 def test_correlations_are_sorted(prepared):
     found = [r.r for r in notes.feature_correlations(prepared).collect() if r.r is not None]
     assert found == sorted(found) and len(found) > 5
+
+
+def test_encoder_gives_missing_and_unseen_levels_no_flag(frame):
+    rows = [(1, "b", "x"), (2, "a", None), (3, "b", "y"), (4, "c", "y"), (5, None, "z")]
+    df = frame(rows, "id long, one string, two string")
+    got = {(r.id, r.category): (r.level, r.size, r.position) for r in models.encoded(df, "id", ["one", "two"], df.where("id < 4")).collect()}
+    assert len(got) == 10
+    assert [got[i, "one"] for i in range(1, 6)] == [("b", 2, 1), ("a", 2, 0), ("b", 2, 1), ("c", 2, None), (None, 2, None)]
+    assert [got[i, "two"] for i in range(1, 6)] == [("x", 2, 0), (None, 2, None), ("y", 2, 1), ("y", 2, 1), ("z", 2, None)]
