@@ -30,9 +30,8 @@ def summarise(facts: DataFrame, keys: Sequence[str], member: str, measure: str)
         *keys, F.bitmap_bucket_number(number).alias("bucket"), F.bitmap_bit_position(number).cast("int").alias("position"),
         F.col(measure).alias("_measure"),
     )
-    # rows are reduced by member in every task before anything is shuffled
-    by_member = placed.groupBy(*keys, "bucket", "position").agg(F.sum("_measure").alias("_measure"))
-    grouped = by_member.groupBy(*keys, "bucket").agg(
+    # sum and set are reduced in every task and shuffled once
+    grouped = placed.groupBy(*keys, "bucket").agg(
         F.sum("_measure").alias("total"), F.sort_array(F.collect_set("position")).alias("members")
     )
     return _stored(grouped.withColumn("bits", F.lit(None).cast("binary")), keys)
@@ -51,33 +50,38 @@ def _stored(grouped: DataFrame, keys: Sequence[str]) -> DataFrame:
     return grouped.filter(~long).select(*keys, *kept).unionByName(mapped.select(*keys, *kept))
 
 
+def _united(summaries: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row ``(keys, bucket, total, members, bits)`` for each bucket: ``members`` are those that no bitmap has.
+
+    Bitmaps are put together by themselves: in one aggregate with the lists every bucket, also one of a single member, would hold an
+    empty bitmap of 4 KB.
+    """
+    is_map, kind = F.col("bits").isNotNull(), summaries.schema["total"].dataType
+    # NULL, but not constants: the optimiser loses a constant column of one side of a union
+    maps = summaries.filter(is_map).groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits")).select(
+        *keys, "bucket", F.when(~is_map, F.lit(0).cast(kind)).alias("total"),
+        F.when(~is_map, F.array().cast("array<int>")).alias("members"), "bits",
+    )
+    lists = summaries.withColumn("bits", F.when(F.size("members") > 32_768, F.col("bits")))
+    joined = lists.select(maps.columns).unionByName(maps).groupBy(*keys, "bucket").agg(
+        F.sum("total").alias("total"), F.flatten(F.collect_list("members")).alias("_listed"), F.max("bits").alias("bits")
+    )
+    members = F.sort_array(F.array_distinct("_listed"))
+    new = F.when(F.col("bits").isNull(), members).otherwise(F.filter(members, lambda p: ~_has(F.col("bits"), p)))
+    return joined.select(*keys, "bucket", "total", new.alias("members"), "bits")
+
+
 def merged(summaries: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Summaries of several pulls as one, in the same form: pulls can be merged in any order, again and again.
 
     A bucket has 32,768 members at most, so the lists and bitmaps that meet in a group are bounded.
     """
-    # a summary's total and bitmap go with its first member only
-    spread = summaries.select(*keys, "bucket", "total", "bits", F.posexplode_outer("members").alias("_at", "position"))
-    once = F.coalesce(F.col("_at") == 0, F.lit(True))
-    joined = spread.groupBy(*keys, "bucket").agg(
-        F.sum(F.when(once, F.col("total"))).alias("total"),
-        F.collect_set("position").alias("_listed"),
-        F.max(F.when(once, F.col("bits"))).alias("_one"),
-        F.bitmap_or_agg(F.when(once, F.col("bits"))).alias("_mapped"),
-    )
-    both = joined.withColumn("_mapped", F.when(F.col("_one").isNotNull(), F.col("_mapped")))
-    whole = both.select(
-        *keys, "bucket", "total", "_mapped",
-        F.filter(F.sort_array("_listed"), lambda p: F.col("_mapped").isNull() | ~_has(F.col("_mapped"), p)).alias("_new"),
-    )
-    return _stored(whole.select(
-        *keys, "bucket", "total", F.col("_new").alias("members"), F.col("_mapped").alias("bits")
-    ), keys)
+    return _stored(_united(summaries, keys), keys)
 
 
 def totals(summaries: DataFrame, keys: Sequence[str], total: str, members: str) -> DataFrame:
     """Sum and exact number of distinct members for each key, over all pulls summarised."""
-    whole = merged(summaries, keys)
+    whole = _united(summaries, keys)
     size = F.coalesce(F.size("members"), F.lit(0)) + F.coalesce(F.bitmap_count("bits"), F.lit(0))
     return whole.groupBy(*keys).agg(F.sum("total").alias(total), F.sum(size).cast("long").alias(members))
 

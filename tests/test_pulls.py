@@ -82,3 +82,11 @@ def test_sketch_without_values(frame):
     got = {r.g: r for r in pulls.quantiles(pulls.sketched(df, ["g"], ["v"]), ["g"], {"mid": 0.5}).collect()}
     assert (got["b"].n, got["b"].mid) == (1, 2.0)
     assert (got["a"].n, got["a"].mid) == (0, None)
+
+
+def test_lists_carry_no_bitmap(frame):
+    """A bucket of a few members does not hold an empty bitmap of 4 KB while it is put together."""
+    stored = pulls.summarise(frame([("a", 1, 5, 1), ("b", 1, 6, 1)], SCHEMA), ["k", "j"], "m", "v")
+    plan = pulls.totals(stored, ["k", "j"], "total", "members")._jdf.queryExecution().executedPlan().toString()
+    assert "bitmap_or_agg" in plan
+    assert not [line for line in plan.splitlines() if "bitmap_or_agg" in line and "collect_" in line]
