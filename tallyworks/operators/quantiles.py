@@ -68,13 +68,17 @@ def exact_quantiles(
 
     present = long.filter(F.col(VALUE).isNotNull())
     if keys:
+        # only large groups have brackets to look up, so these are few and no row is sent or sorted for them
         same = [F.col(f"l.{c}").eqNullSafe(F.col(f"b.{c}")) for c in ids]
-        matched = present.alias("l").join(brackets.alias("b"), same).select(
-            *[F.col(f"l.{c}").alias(c) for c in ids], F.col(f"l.{VALUE}").alias(VALUE), "_n", *sides
+        large = brackets.filter(wide_enough).select(*ids, *sides)
+        open_ends = [F.lit(float("-inf" if side.startswith("_low") else "inf")) for side in sides]
+        matched = present.alias("l").join(F.broadcast(large).alias("b"), same, "left").select(
+            *[F.col(f"l.{c}").alias(c) for c in ids], F.col(f"l.{VALUE}").alias(VALUE),
+            *[F.coalesce(side, end).alias(side) for side, end in zip(sides, open_ends)],
         )
     else:
         # one bracket per listed column: a single value that is handed to every row, without a join
-        entry = F.struct("column", F.struct("_n", *sides))
+        entry = F.struct("column", F.struct(*sides))
         known = brackets.agg(F.map_from_entries(F.collect_list(entry))).scalar()
         matched = present.withColumn("_b", F.element_at(known, F.col("column"))).select("column", VALUE, "_b.*")
     # the first bracket not below the value holds it, or bounds the gap it lies in
@@ -88,10 +92,11 @@ def exact_quantiles(
         inside = F.when(reaches, held).otherwise(inside)
         place = F.when(reaches, F.greatest(F.col(VALUE), low)).otherwise(place)
         cell = F.when(reaches, number).otherwise(cell)
+    # what lies above all brackets is one more cell, without places
+    cell = F.coalesce(cell, F.lit(len(shares) * (CELLS + 1)).cast("long"))
     counted = (
-        matched.select(*ids, "_n", inside.alias("_inside"), place.alias("_place"), cell.alias("_cell"))
-        .filter(F.col("_place").isNotNull())
-        .groupBy(*ids, "_n", "_inside", "_place", "_cell")
+        matched.select(*ids, inside.alias("_inside"), place.alias("_place"), cell.alias("_cell"))
+        .groupBy(*ids, "_inside", "_place", "_cell")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
 
@@ -100,12 +105,13 @@ def exact_quantiles(
     ranks = [f((F.col("_n") - 1) * F.lit(s)) for s in shares.values() for f in (F.floor, F.ceil)]
     wanted = reduce(or_, [(F.col("_before") <= r) & (F.col("_end") > r) for r in ranks])
     cells = (
-        counted.groupBy(*ids, "_n", "_cell")
+        counted.groupBy(*ids, "_cell")
         .agg(F.sum("_rows").alias("_rows"))
+        .withColumn("_n", F.sum("_rows").over(Window.partitionBy(*ids)))
         .withColumn("_end", F.sum("_rows").over(so_far))
         .withColumn("_before", F.col("_end") - F.col("_rows"))
         .filter(wanted)
-        .select(*ids, "_cell", "_before")
+        .select(*ids, "_cell", "_n", "_before")
     )
     looked = counted.alias("c").join(
         cells.alias("w"),
@@ -116,7 +122,7 @@ def exact_quantiles(
         .orderBy("_place", "_inside")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    ranked = looked.select("c.*", "_before").withColumn("_up_to", F.col("_before") + F.sum("_rows").over(order))
+    ranked = looked.select("c.*", "_n", "_before").withColumn("_up_to", F.col("_before") + F.sum("_rows").over(order))
 
     def value_at(rank: Column) -> Column:
         return F.min(F.when(F.col("_inside") & (F.col("_up_to") > rank), F.col("_place")))

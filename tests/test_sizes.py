@@ -1,5 +1,12 @@
 """Plans and layout."""
 
+import contextlib
+import io
+
+from pyspark.sql import functions as F
+
+from tallyworks import bindings
+from tallyworks.operators import quantiles
 from tallyworks.operators.aggregates import cross_counts, sizes_by
 from tallyworks.session import cut_lineage
 
@@ -29,3 +36,23 @@ def test_results_do_not_depend_on_the_layout(tables):
     once = video.top_videos_by_type(views, videos)
     again = video.top_videos_by_type(views.repartition(13), videos.repartition(3))
     assert once.exceptAll(again).count() == 0 and again.exceptAll(once).count() == 0
+
+
+def test_joined_lines_are_cut_by_their_rows(spark, tables, monkeypatch):
+    """Tasks sort a bounded number of rows, whatever the session's number of parts, and the rows stay the same."""
+    plain = tables.raw_results()
+    monkeypatch.setattr(bindings, "TASK_ROWS", 100)
+    cut = tables.raw_results()
+    assert cut.rdd.getNumPartitions() == -(-tables.lineitem.count() // 100)
+    assert cut.exceptAll(plain).count() == 0 and plain.exceptAll(cut).count() == 0
+
+
+def test_only_large_groups_look_up_brackets(spark):
+    """Rows are not shuffled to their group before they are counted: one broadcast, and mixed sizes stay exact."""
+    df = spark.range(3000).select(F.when(F.col("id") < 20, "few").alias("g"), F.col("id").cast("double").alias("v"))
+    found = quantiles.quartiles_by(df, ["g"], "v", accuracy=40)
+    assert {r.g: (r.q1, r.median, r.q3) for r in found.collect()} == {"few": (4.75, 9.5, 14.25), None: (764.75, 1509.5, 2254.25)}
+    buffer = io.StringIO()
+    with contextlib.redirect_stdout(buffer):
+        found.explain()
+    assert "LeftOuter, BuildRight" in buffer.getvalue()
